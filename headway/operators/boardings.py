@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.operators.events import bus_events
+from headway.operators.events import bus_events, vehicle_events
 from headway.operators.prefix import Ordered, by_key
 
+_TYPES = (S.DRIVER_STARTS, S.PERSON_ENTERS, S.LEAVES_TRAFFIC)
+
 
 def boarding_log(events: DataFrame, buses: DataFrame) -> DataFrame:
-    return bus_events(events, buses, S.DRIVER_STARTS, S.PERSON_ENTERS, S.LEAVES_TRAFFIC).select(
+    return bus_events(events, buses, *_TYPES).select(
         "seq", "type", "bus", "person", F.col("driverId").alias("starting")
     )
 
@@ -21,7 +23,7 @@ def bus_boardings(events: DataFrame, buses: DataFrame) -> DataFrame:
 
     The driver is the latest one to start on the bus since it last left traffic.
     """
-    return by_key(boarding_log(events, buses), "bus", _boardings)
+    return by_key(boarding_log(events, buses), "bus", _boardings, sized_by=vehicle_events(events, *_TYPES))
 
 
 def _boardings(log: Ordered) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.operators.events import bus_events
+from headway.operators.events import bus_events, vehicle_events
 from headway.operators.prefix import Ordered, by_key
 
 
@@ -24,7 +24,7 @@ def bus_stop_delays(events: DataFrame, buses: DataFrame) -> DataFrame:
     Arrivals that name no facility are not seen at all. A departure right after
     another departure has no arrival to pair with.
     """
-    return by_key(delay_log(events, buses), "bus", _pairs)
+    return by_key(delay_log(events, buses), "bus", _pairs, sized_by=vehicle_events(events, S.ARRIVES, S.DEPARTS))
 
 
 def _pairs(log: Ordered) -> DataFrame:

@@ -115,10 +115,15 @@ class Ordered:
         return df.withColumns(done).drop(*[f"_in_{n}" for n in names])
 
 
-def by_key(events: DataFrame, key: str, recipe: Callable[[Ordered], DataFrame]) -> DataFrame:
-    """Run ``recipe`` on all keys: ordinary ones in one task each, heavy ones in chunks."""
+def by_key(
+    events: DataFrame, key: str, recipe: Callable[[Ordered], DataFrame], sized_by: DataFrame | None = None
+) -> DataFrame:
+    """Run ``recipe`` on all keys: ordinary ones in one task each, heavy ones in chunks.
+
+    Keys are counted in ``sized_by``, the events before any join (default: ``events``).
+    """
     events = events.filter(F.col(key).isNotNull())
-    heavy = heavy_keys(events, [key])
+    heavy = heavy_keys(events if sized_by is None else sized_by, [key])
     if heavy is None:
         return recipe(Ordered(events, key))
     heavy = F.broadcast(heavy)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from headway import schemas as S
 from headway.functions.columns import contains_any
-from headway.operators.skew import lookup, salted
 
 
 def classify_vehicles(transit_vehicles: DataFrame, markers: Sequence[str]) -> DataFrame:
@@ -38,14 +37,22 @@ def bus_lines(route_parts: DataFrame, modes: Sequence[str]) -> DataFrame:
 
 def covered_links(route_links: DataFrame, modes: Sequence[str]) -> DataFrame:
     """Distinct links on any route of a kept line, whatever that route's own mode."""
-    kept = lookup(route_links, bus_lines(route_links, modes), ["line_id"], "left_semi")
-    return kept.select("link_id").distinct()
+    return _of_kept_lines(route_links, modes, "link_id").select("link_id").distinct()
 
 
 def bus_stops(route_stops: DataFrame, modes: Sequence[str]) -> DataFrame:
     """Distinct stops of kept lines with their coordinates."""
-    kept = lookup(route_stops, bus_lines(route_stops, modes), ["line_id"], "left_semi")
-    return kept.groupBy("stop_id").agg(F.min(F.struct("x", "y")).alias("at")).select("stop_id", "at.x", "at.y")
+    place = F.min(F.struct("x", "y")).alias("at")
+    kept = _of_kept_lines(route_stops, modes, "stop_id", place)
+    return kept.groupBy("stop_id").agg(F.min("at").alias("at")).select("stop_id", "at.x", "at.y")
+
+
+def _of_kept_lines(route_parts: DataFrame, modes: Sequence[str], item: str, *extra) -> DataFrame:
+    """Items of kept lines, once per line: repeats go before anything meets by line."""
+    listed = F.bool_or(F.col("transport_mode").isin(*modes)).alias("listed")
+    items = route_parts.groupBy("line_id", item).agg(listed, *extra)
+    kept = items.filter("listed").select("line_id").distinct()
+    return items.join(kept, ["line_id"], "left_semi")
 
 
 def transit_route_ratio(links: DataFrame, route_links: DataFrame, modes: Sequence[str]) -> DataFrame:
@@ -87,34 +94,31 @@ def covered_places(places: DataFrame, stops: DataFrame, radius: float) -> DataFr
     """The places within ``radius`` of a stop.
 
     Places and stops meet on a grid whose cells are a little shorter in diagonal
-    than the radius. A place that shares its cell with a stop is covered outright.
-    The others meet the stops of the 24 cells around theirs, and the distance
-    decides; the semi-join stops at the first stop in reach.
+    than the radius. A cell with a stop covers all its places, so it needs one row
+    whatever the number of stops. Places in other cells meet the stops of the 24
+    cells around theirs; there the distance decides, and the semi-join is done
+    with a place at the first stop in reach. A crowded cell is split at run time
+    (adaptive skew join: places on the left of a semi-join may be divided freely).
     """
     side = 0.7 * radius
     cell = {"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}
     places = places.dropna(subset=["x", "y"]).withColumns(cell)
     spots = stops.select("x", "y").dropna().distinct().withColumns(cell)
     occupied = spots.select("cx", "cy").distinct()
-
-    same_cell = lookup(places, occupied, ["cx", "cy"], "left_semi")
-    apart = lookup(places, occupied, ["cx", "cy"], "left_anti")
     steps = F.sequence(F.lit(-2), F.lit(2))
     around = (
         spots.select(F.col("x").alias("sx"), F.col("y").alias("sy"), "cx", "cy", F.explode(steps).alias("i"))
         .withColumn("j", F.explode(steps))
         .filter("i <> 0 OR j <> 0")
         .select("sx", "sy", (F.col("cx") + F.col("i")).alias("cx"), (F.col("cy") + F.col("j")).alias("cy"))
+        .join(occupied, ["cx", "cy"], "left_anti")
     )
-    lhs, rhs, keys = salted(apart, around, ["cx", "cy"], ["x", "y"])
-    rhs = rhs.withColumnsRenamed({k: f"r{k}" for k in keys})
+    targets = around.unionByName(occupied, allowMissingColumns=True)
     dx, dy = F.col("x") - F.col("sx"), F.col("y") - F.col("sy")
-    meets = dx * dx + dy * dy <= radius * radius
-    for key in keys:
-        meets = meets & (F.col(key) == F.col(f"r{key}"))
-    near = lhs.join(rhs, meets, "left_semi")
-    columns = ["x", "y", "persons"]
-    return same_cell.select(columns).unionByName(near.select(columns))
+    in_reach = F.col("sx").isNull() | (dx * dx + dy * dy <= radius * radius)
+    met = targets.withColumnsRenamed({"cx": "tx", "cy": "ty"})
+    meets = (F.col("cx") == F.col("tx")) & (F.col("cy") == F.col("ty")) & in_reach
+    return places.join(met, meets, "left_semi").select("x", "y", "persons")
 
 
 def service_coverage(activities: DataFrame, stops: DataFrame, radius: float) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 HEAVY_ROWS = 10_000_000
 MAX_HEAVY_KEYS = 100_000
 HEAVY_ROWS_CONF = "spark.headway.heavyRows"
-SALTS = 256
+BROADCAST_ROWS = 500_000
 
 
 def heavy_rows(spark: SparkSession) -> int:
@@ -25,10 +25,23 @@ def heavy_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HEAVY_ROWS_CONF, str(HEAVY_ROWS)))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys with more than :func:`heavy_rows` rows, or None if there are none."""
+    """The keys with more than :func:`heavy_rows` rows, or None if there are none.
+
+    Nothing is counted where all of ``df`` is no larger than one input split: then
+    even a single key makes an ordinary task. An explicit limit is always checked.
+    """
     spark = df.sparkSession
-    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    df = df.select(*keys)
+    if spark.conf.get(HEAVY_ROWS_CONF, None) is None:
+        one_split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        if estimated_bytes(df) <= one_split:
+            return None
+    counts = df.dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     found = (
         counts.filter(F.col("n") > heavy_rows(spark))
         .orderBy(F.desc("n"))
@@ -42,8 +55,23 @@ def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
 def fits_broadcast(df: DataFrame) -> bool:
     """Is Catalyst's size estimate within the session's own broadcast threshold?"""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return limit >= 0 and int(str(size)) <= limit
+    return 0 <= estimated_bytes(df) <= limit
+
+
+def small_side(df: DataFrame) -> DataFrame | None:
+    """``df`` ready to be broadcast, or None if it is too large for that.
+
+    Estimates behind joins are far too high, so where the estimate says no, rows
+    are counted - up to the bound, no further. A negative broadcast threshold
+    switches broadcasting off here as it does in Spark.
+    """
+    if fits_broadcast(df):
+        return df
+    if df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() < 0:
+        return None
+    if df.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return None
+    return F.broadcast(df)
 
 
 def lookup(
@@ -51,15 +79,17 @@ def lookup(
 ) -> DataFrame:
     """Join ``df`` with ``dim`` (unique on ``keys``) without a hot task.
 
-    A small ``dim`` is left to Spark, which broadcasts it. A large one is joined
-    by shuffle; then the heavy keys of ``df`` take the few ``dim`` rows they need
-    by broadcast (one per heavy key), and null keys are spread over all tasks by
-    the ``spread`` column instead of meeting in one. A stream is joined as it
-    comes: its micro-batches are small.
+    A small ``dim`` is broadcast. A large one is joined by shuffle; then the heavy
+    keys of ``df`` take the few ``dim`` rows they need by broadcast (one per heavy
+    key), and null keys are spread over all tasks by the ``spread`` column instead
+    of meeting in one. A stream is joined as it comes: its micro-batches are small.
     """
     keys = list(keys)
-    if df.isStreaming or fits_broadcast(dim):
+    if df.isStreaming:
         return df.join(dim, keys, how)
+    small = small_side(dim)
+    if small is not None:
+        return df.join(small, keys, how)
     heavy = heavy_keys(df, keys)
     if heavy is None:
         return _shuffled(df, dim, keys, how, spread)
@@ -81,31 +111,3 @@ def _shuffled(df, dim, keys, how, spread):
         dim.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"], how
     )
     return joined.drop("_salt")
-
-
-def salted(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Sequence[str]
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Split heavy ``left`` keys over ``SALTS`` tasks; ``right`` is copied for them only.
-
-    Returns both sides and the extended key list for an equi-join.
-    """
-    keys = list(keys)
-    heavy = heavy_keys(left, keys)
-    zero = F.lit(0).cast("long")
-    if heavy is None:
-        return left.withColumn("_salt", zero), right.withColumn("_salt", zero), [*keys, "_salt"]
-    marked = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
-    lhs = (
-        left.join(marked, keys, "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(zero),
-        )
-        .drop("_heavy")
-    )
-    copies = F.when(F.col("_heavy"), F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(
-        F.array(zero)
-    )
-    rhs = right.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
-    return lhs, rhs, [*keys, "_salt"]

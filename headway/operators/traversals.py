@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.operators.events import vehicle_events
+from headway.operators.events import bus_events, vehicle_events
 from headway.operators.prefix import Ordered, by_key
 from headway.operators.skew import lookup
 
@@ -20,26 +20,36 @@ _TYPES = (
     S.PERSON_LEAVES,
 )
 
-_KIND = F.col("type")
-# A bus joins traffic on a named link; moving on to a named link keeps it there.
-_JOINS = (_KIND == S.ENTERS_TRAFFIC) & F.col("link").isNotNull()
-_ON_LINK = _KIND.isin(S.ENTERS_TRAFFIC, S.ENTERED_LINK) & F.col("link").isNotNull()
-_QUITS = _KIND == S.LEAVES_TRAFFIC
+
+def _is(*kinds: str) -> Column:
+    return F.col("type").isin(*kinds)
+
+
+def _joins() -> Column:
+    """The bus joins traffic; without a link the event says nothing."""
+    return _is(S.ENTERS_TRAFFIC) & F.col("link").isNotNull()
+
+
+def _on_link() -> Column:
+    """The bus is now on a named link."""
+    return _is(S.ENTERS_TRAFFIC, S.ENTERED_LINK) & F.col("link").isNotNull()
+
+
+def _quits() -> Column:
+    return _is(S.LEAVES_TRAFFIC)
 
 
 def bus_log(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
     """The bus events that occupancy depends on; ``km`` is null on unknown links."""
-    ids = buses.select(F.col("vehicle_id").alias("bus"))
-    log = vehicle_events(events, *_TYPES).select(
+    log = bus_events(events, buses, *_TYPES).select(
         "seq",
         "time",
         "type",
         "bus",
         "person",
         F.col("driverId").alias("starting"),
-        F.when(_KIND.isin(S.ENTERS_TRAFFIC, S.ENTERED_LINK), F.col("link")).alias("link"),
+        F.when(_is(S.ENTERS_TRAFFIC, S.ENTERED_LINK), F.col("link")).alias("link"),
     )
-    log = lookup(log, ids, ["bus"], "left_semi")
     return lookup(log, link_km.select(F.col("link_id").alias("link"), "km"), ["link"], "left", "seq")
 
 
@@ -48,12 +58,12 @@ def bus_link_traversals(events: DataFrame, buses: DataFrame, link_km: DataFrame)
 
     ``have_passenger`` tells whether anyone was on board when the link was entered.
     """
-    return by_key(bus_log(events, buses, link_km), "bus", lambda log: _traversals(bus_state(log)))
+    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log)))
 
 
 def occupancy_violations(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
     """Buses that leave traffic with a passenger balance other than zero."""
-    return by_key(bus_log(events, buses, link_km), "bus", lambda log: _violations(bus_state(log)))
+    return _by_bus(events, buses, link_km, lambda log: _violations(bus_state(log)))
 
 
 def bus_active_state(events: DataFrame, buses: DataFrame) -> DataFrame:
@@ -65,10 +75,13 @@ def bus_active_state(events: DataFrame, buses: DataFrame) -> DataFrame:
             "seq", F.col("bus").alias("bus_id"), (F.coalesce("active", F.lit(0)) == 1).alias("active")
         )
 
-    ids = buses.select(F.col("vehicle_id").alias("bus"))
-    log = vehicle_events(events, S.ENTERS_TRAFFIC, S.LEAVES_TRAFFIC, S.ENTERED_LINK, S.LEFT_LINK)
-    log = lookup(log.select("seq", "type", "bus", "link"), ids, ["bus"], "left_semi")
-    return by_key(log, "bus", recipe)
+    kinds = (S.ENTERS_TRAFFIC, S.LEAVES_TRAFFIC, S.ENTERED_LINK, S.LEFT_LINK)
+    log = bus_events(events, buses, *kinds).select("seq", "type", "bus", "link")
+    return by_key(log, "bus", recipe, sized_by=vehicle_events(events, *kinds))
+
+
+def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe) -> DataFrame:
+    return by_key(bus_log(events, buses, link_km), "bus", recipe, sized_by=vehicle_events(events, *_TYPES))
 
 
 def bus_occupancy(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
@@ -81,11 +94,11 @@ def bus_occupancy(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> Da
             .select("seq", F.col("bus").alias("bus_id"), on_board().alias("on_board"))
         )
 
-    return by_key(bus_log(events, buses, link_km), "bus", recipe)
+    return _by_bus(events, buses, link_km, recipe)
 
 
 def _active() -> Column:
-    return F.when(_JOINS, 1).when(_QUITS, 0)
+    return F.when(_joins(), 1).when(_quits(), 0)
 
 
 def bus_state(log: Ordered) -> DataFrame:
@@ -98,15 +111,15 @@ def bus_state(log: Ordered) -> DataFrame:
     log = log.before(
         last={
             "active": _active(),
-            "here": F.when(_ON_LINK, F.struct("link", "km", F.col("time").alias("since"))),
+            "here": F.when(_on_link(), F.struct("link", "km", F.col("time").alias("since"))),
         }
     )
     running = F.col("active") == 1
-    dismissed = _QUITS & running & F.col("here.km").isNotNull()
+    dismissed = _quits() & running & F.col("here.km").isNotNull()
     log = log.before(
         last={
             "driver": F.when(
-                (_KIND == S.DRIVER_STARTS) & F.col("starting").isNotNull(),
+                _is(S.DRIVER_STARTS) & F.col("starting").isNotNull(),
                 F.struct(F.col("starting").alias("id")),
             ).when(dismissed, F.struct(F.lit(None).cast("string").alias("id")))
         }
@@ -115,14 +128,14 @@ def bus_state(log: Ordered) -> DataFrame:
         F.col("person") != F.col("driver.id"), F.col("person").isNotNull()
     )
     change = (
-        F.when(passenger & (_KIND == S.PERSON_ENTERS), 1)
-        .when(passenger & (_KIND == S.PERSON_LEAVES), -1)
+        F.when(passenger & _is(S.PERSON_ENTERS), 1)
+        .when(passenger & _is(S.PERSON_LEAVES), -1)
         .otherwise(0)
         .cast("long")
     )
     return log.before(
         total={"riders": change},
-        at_mark={"riders_at_start": ("riders", _JOINS), "riders_at_link": ("riders", _ON_LINK)},
+        at_mark={"riders_at_start": ("riders", _joins()), "riders_at_link": ("riders", _on_link())},
     ).df
 
 
@@ -131,7 +144,7 @@ def on_board() -> Column:
 
 
 def _traversals(rows: DataFrame) -> DataFrame:
-    exits = _KIND.isin(S.LEFT_LINK, S.LEAVES_TRAFFIC) & (F.col("active") == 1)
+    exits = _is(S.LEFT_LINK, S.LEAVES_TRAFFIC) & (F.col("active") == 1)
     return rows.filter(exits & F.col("here.km").isNotNull()).select(
         F.col("bus").alias("bus_id"),
         F.col("here.link").alias("link_id"),
@@ -142,6 +155,6 @@ def _traversals(rows: DataFrame) -> DataFrame:
 
 
 def _violations(rows: DataFrame) -> DataFrame:
-    return rows.filter(_QUITS & (F.col("active") == 1) & (on_board() != 0)).select(
+    return rows.filter(_quits() & (F.col("active") == 1) & (on_board() != 0)).select(
         "seq", F.col("bus").alias("bus_id"), "time", on_board().alias("on_board")
     )

@@ -11,10 +11,9 @@ from headway.operators.prefix import Ordered, by_key
 from headway.operators.skew import lookup
 
 
-def trip_log(events: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """The events that open, fill and close trips; ``banned`` marks blacklisted boardings."""
+def _trip_events(events: DataFrame) -> DataFrame:
     kind = F.col("type")
-    log = (
+    return (
         non_driver_events(events)
         .filter(
             ((kind == S.DEPARTURE) & F.col("computationalRoutingMode").isNotNull())
@@ -30,8 +29,12 @@ def trip_log(events: DataFrame, blacklist: DataFrame) -> DataFrame:
             F.when(kind == S.PERSON_ENTERS, F.col("vehicle")).alias("vehicle"),
         )
     )
+
+
+def trip_log(events: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """The events that open, fill and close trips; ``banned`` marks blacklisted boardings."""
     banned = blacklist.select(F.col("vehicle_id").alias("vehicle"), F.lit(True).alias("banned"))
-    return lookup(log, banned, ["vehicle"], "left", "seq")
+    return lookup(_trip_events(events), banned, ["vehicle"], "left", "seq")
 
 
 def person_trips(events: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -39,7 +42,7 @@ def person_trips(events: DataFrame, blacklist: DataFrame) -> DataFrame:
 
     Trips that used no vehicle, or only blacklisted ones, are left out.
     """
-    return by_key(trip_log(events, blacklist), "person", _trips)
+    return by_key(trip_log(events, blacklist), "person", _trips, sized_by=_trip_events(events))
 
 
 def _trips(log: Ordered) -> DataFrame:

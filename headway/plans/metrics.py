@@ -101,9 +101,11 @@ def transfer_facts(trips: DataFrame, buses: DataFrame, by: Sequence[str] = ()) -
         F.sequence(F.lit(1), F.size(v) - 1),
         lambda i: F.struct(F.get(v, i - 1).alias("a"), F.get(v, i).alias("b")),
     )
-    pairs = lists.select(
-        *by, "n", F.sha2(F.to_json(v), 256).alias("list"), F.explode(F.array_distinct(legs)).alias("leg")
-    ).select(*by, "n", "list", "leg.a", "leg.b")
+    digest = F.sha2(F.to_json(v), 256).alias("list")
+    pairs = (
+        lists.select(*by, "n", digest, F.array_distinct(legs).alias("legs"))
+        .select(*by, "n", "list", F.inline("legs"))
+    )
     for side in ("a", "b"):
         pairs = lookup(pairs, buses.select(F.col("vehicle_id").alias(side)), [side], "left_semi")
     changed = pairs.select(*by, "list", "n").distinct()

@@ -25,9 +25,16 @@ KINDS = (
 )
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def raw(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A star table; its schema is read from the file once per process."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def tag(letter: str, number) -> Column:
