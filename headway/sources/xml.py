@@ -7,6 +7,8 @@ task unless it can be split, so a large log should be landed once as parquet
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from headway import schemas as S
 from headway.functions.columns import to_double_or_nan
 
 _TEXT_TIME = "_time"
+_LOCAL = re.compile(":///")
 _EVENT_XML = ", ".join(f"_{a} string" for a in ("time", "type", *S.EVENT_ATTRIBUTES))
 
 
@@ -40,13 +43,15 @@ def with_seq(scan: DataFrame) -> DataFrame:
     if len(files) <= 1:
         return scan.withColumn("seq", offset)
     ranks = scan.sparkSession.createDataFrame(
-        [(name, rank << 40) for rank, name in enumerate(files)], "_file string, _base long"
+        [(_LOCAL.sub(":/", name), rank << 40) for rank, name in enumerate(files)], "_file string, _base long"
     )
-    numbered = scan.withColumns({"seq": offset, "_file": F.col("_metadata.file_path")})
+    file = F.regexp_replace(F.col("_metadata.file_path"), _LOCAL.pattern, ":/")
+    numbered = scan.withColumns({"seq": offset, "_file": file})
     # One short row per input file: no more than the file index on the driver holds.
+    base = F.coalesce("_base", F.raise_error(F.concat(F.lit("unknown input file "), F.col("_file"))))
     return (
-        numbered.join(F.broadcast(ranks), "_file")
-        .withColumn("seq", F.col("seq") + F.col("_base"))
+        numbered.join(F.broadcast(ranks), "_file", "left")
+        .withColumn("seq", F.col("seq") + base)
         .drop("_file", "_base")
     )
 
