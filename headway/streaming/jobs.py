@@ -31,7 +31,13 @@ def stream_bus_boardings(events: DataFrame, buses: DataFrame) -> DataFrame:
 
 
 def stream_bus_stop_delays(events: DataFrame, buses: DataFrame) -> DataFrame:
-    return _stateful(delay_log(events, buses), "bus", P.StopDelays(), "bus_delay_records")
+    rows = _stateful(delay_log(events, buses), "bus", P.StopDelays(), "bus_delay_records")
+    # The way out of pandas turns NaN (no delay given) into null.
+    delays = {
+        c: F.when(F.col(P.LATE).isNull(), F.coalesce(c, F.lit(float("nan"))))
+        for c in ("arrival_delay", "depart_delay")
+    }
+    return rows.withColumns(delays)
 
 
 def stream_bus_link_traversals(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ class KeyedLog(StatefulProcessor):
             yield self._shaped(pd.DataFrame({LATE: log.loc[late, "seq"]}))
 
     def _shaped(self, out: pd.DataFrame) -> pd.DataFrame:
-        return out.reindex(columns=[*self.output, LATE])
+        # Plain objects: the output schema alone decides the types.
+        return out.reindex(columns=[*self.output, LATE]).astype(object)
 
     def blank(self) -> tuple:
         raise NotImplementedError

@@ -58,7 +58,7 @@ def random_log(seed, n, vehicles=3, persons=4):
                 driverId=rng.choice([f"pt_{v}", f"pt_{v}", "p0", None]),
                 link=rng.choice(["a", "b", "c", "nowhere", None]),
                 facility=rng.choice(["s1", "s2", None]),
-                delay=float(rng.randint(-5, 5)),
+                delay=rng.choice([float("nan"), float(rng.randint(-5, 5))]),
                 actType=rng.choice(["home", "work", "car interaction", "pt interaction"]),
                 computationalRoutingMode=rng.choice(["pt", "car", None]),
             )
@@ -100,7 +100,7 @@ def delays(events, buses):
         for a, d in zip(log, log[1:]):
             if a["type"] == S.ARRIVES and d["type"] == S.DEPARTS:
                 out.append((a["facility"], a["delay"], d["delay"]))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 def _joins(e):
