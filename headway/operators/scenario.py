@@ -47,6 +47,12 @@ def bus_stops(route_stops: DataFrame, modes: Sequence[str]) -> DataFrame:
     return kept.groupBy("stop_id").agg(F.min("at").alias("at")).select("stop_id", "at.x", "at.y")
 
 
+def stop_places(route_stops: DataFrame, modes: Sequence[str]) -> DataFrame:
+    """Distinct coordinates of the stops of kept lines: all that coverage needs."""
+    kept = _of_kept_lines(route_stops.withColumn("at", F.struct("x", "y")), modes, "at")
+    return kept.select("at").distinct().select("at.x", "at.y")
+
+
 def _of_kept_lines(route_parts: DataFrame, modes: Sequence[str], item: str, *extra) -> DataFrame:
     """Items of kept lines, once per line: repeats go before anything meets by line."""
     listed = F.bool_or(F.col("transport_mode").isin(*modes)).alias("listed")
@@ -91,7 +97,7 @@ def home_places(homes: DataFrame) -> DataFrame:
 
 
 def covered_places(places: DataFrame, stops: DataFrame, radius: float) -> DataFrame:
-    """The places within ``radius`` of a stop.
+    """The places within ``radius`` of a stop (``stops``: best without repeated coordinates).
 
     Places and stops meet on a grid whose cells are a little shorter in diagonal
     than the radius. A cell with a stop covers all its places, so it needs one row
@@ -103,7 +109,7 @@ def covered_places(places: DataFrame, stops: DataFrame, radius: float) -> DataFr
     side = 0.7 * radius
     cell = {"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}
     places = places.dropna(subset=["x", "y"]).withColumns(cell)
-    spots = stops.select("x", "y").dropna().distinct().withColumns(cell)
+    spots = stops.select("x", "y").dropna().withColumns(cell)
     occupied = spots.select("cx", "cy").distinct()
     steps = F.sequence(F.lit(-2), F.lit(2))
     around = (
@@ -122,7 +128,7 @@ def covered_places(places: DataFrame, stops: DataFrame, radius: float) -> DataFr
 
 
 def service_coverage(activities: DataFrame, stops: DataFrame, radius: float) -> DataFrame:
-    """Share of the population that lives within ``radius`` of a bus stop, one row."""
+    """Share of the population that lives within ``radius`` of a stop, one row."""
     places = home_places(person_home(activities))
     reached = covered_places(places, stops, radius)
     sums = (

@@ -34,7 +34,7 @@ class Scenario:
         return sc.blacklist(self.transit_vehicles, params.bus_types)
 
     def facts(self, params: Params) -> DataFrame:
-        stops = sc.bus_stops(self.route_stops, params.bus_modes)
+        stops = sc.stop_places(self.route_stops, params.bus_modes)
         return scenario_facts(
             sc.service_coverage(self.activities, stops, params.coverage_radius),
             sc.transit_route_ratio(self.links, self.route_links, params.bus_modes),

@@ -24,6 +24,9 @@ NO_CAR_SECONDS = 1.0
 NO_DISTANCE_KM = 1e9
 # ------------------------------------------------------------------------------
 
+# Largest fleet that is put into an expression as a set of ids.
+FLEET_BOUND = 10_000
+
 COUNTS = (
     "n_pax",
     "passengers",
@@ -77,7 +80,7 @@ def bus_trip_facts(bus_trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def trip_facts(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def trip_facts(trips: DataFrame, by: Sequence[str] = (), *extra: Column) -> DataFrame:
     pt, car = F.col("main_mode") == S.TRANSIT_MODE, F.col("main_mode") == S.CAR_MODE
     return trips.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_trips"),
@@ -85,11 +88,34 @@ def trip_facts(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(pt & (F.size("veh_list") >= 2)).alias("pt_multi"),
         F.avg(F.when(pt, F.col("travel_time"))).alias("pt_seconds"),
         F.avg(F.when(car, F.col("travel_time"))).alias("car_seconds"),
+        *extra,
     )
 
 
+def trip_and_transfer_facts(trips: DataFrame, buses: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`trip_facts` with ``transfers``: transit trips that change from one bus straight to another.
+
+    A fleet of bounded size becomes a hash set inside the expression, and the trip
+    table is read once without a shuffle of its own. A larger one is joined.
+    """
+    fleet = [r[0] for r in buses.select("vehicle_id").limit(FLEET_BOUND + 1).collect()]
+    if len(fleet) > FLEET_BOUND:
+        parts = trip_facts(trips, by).unionByName(transfer_facts(trips, buses, by), allowMissingColumns=True)
+        names = [c for c in parts.columns if c not in by]
+        return parts.groupBy(*by).agg(*[F.max(c).alias(c) for c in names])
+    v = F.col("veh_list")
+    changes = F.lit(False)
+    if fleet:
+        # As text: thousands of literals made one by one would slow plan building.
+        ids = ", ".join("'" + f.replace("\\", "\\\\").replace("'", "\\'") + "'" for f in fleet)
+        legs = "sequence(1, size(veh_list) - 1)"
+        changes = F.expr(f"exists({legs}, i -> get(veh_list, i - 1) IN ({ids}) AND get(veh_list, i) IN ({ids}))")
+    several = (F.col("main_mode") == S.TRANSIT_MODE) & (F.size(v) >= 2)
+    return trip_facts(trips, by, F.count_if(F.when(several, changes)).alias("transfers"))
+
+
 def transfer_facts(trips: DataFrame, buses: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Transit trips that change from one bus straight to another.
+    """Transfers for a fleet of any size.
 
     Trips with the same vehicle list are counted together first. Each list is
     then followed by its digest, so the list itself is not copied per pair.
@@ -120,8 +146,7 @@ def facts(
         pax_facts(records["bus_pax_records"], by),
         delay_facts(records["bus_delay_records"], params, by),
         bus_trip_facts(records["bus_trip_records"], by),
-        trip_facts(records["trip_records"], by),
-        transfer_facts(records["trip_records"], buses, by),
+        trip_and_transfer_facts(records["trip_records"], buses, by),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return rows.groupBy(*by).agg(

@@ -16,6 +16,8 @@ def build_session(master: str | None = None, app: str = "headway", **conf) -> Sp
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Lists per trip are short: keep hashing instead of sorting after 128 keys.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
         # Recording a Python call site for every column expression slows plan building.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): str(v) for k, v in conf.items()},

@@ -57,6 +57,17 @@ def test_all_metrics(spark):
     assert r.final_score == pytest.approx(sum(0.1 * r[c] for c in SCORE_COLUMNS[:-1]))
 
 
+@pytest.mark.parametrize("bound", [0, 10])
+def test_transfers_for_small_and_large_fleets(spark, monkeypatch, bound):
+    monkeypatch.setattr("headway.plans.metrics.FLEET_BOUND", bound)
+    b1, b2 = "bus'\\1", 'bus"2'
+    trips = [
+        trip("pt", 1, b1, b2, b1), trip("pt", 1, b1, b2, b1), trip("pt", 1, b1, "x", b2),
+        trip("car", 1, b1, b2), trip("pt", 1), trip("pt", 1, "x", b1, b1),
+    ]
+    assert scored(spark, made(spark, trips=trips), buses=(b1, b2)).bus_transfer_rate == pytest.approx(1 - 3 / 5)
+
+
 def test_single_vehicle_trips_have_no_transfer_rate(spark):
     assert scored(spark, made(spark, trips=[trip("pt", 1, "b1"), trip("pt", 1, "b2")])).bus_transfer_rate == 0.0
     assert scored(spark, made(spark, trips=[trip("pt", 1, "x", "y")])).bus_transfer_rate == 1.0

@@ -330,6 +330,7 @@ BODIES = {
     "m_bus_efficiency": _metric("bus_efficiency"),
     "m_effective_distance": _metric("bus_effective_travel_distance"),
     "m_bus_transfer": _metric("bus_transfer_rate"),
+    "m_bus_transfer_joined": _metric("bus_transfer_rate"),
     "m_revenue_hours": "SELECT round(coalesce(sum(travel_time) / CAST(3600 AS DOUBLE), 0), 6) AS service_hours FROM btrip"
     " WHERE have_passenger",
     "score_record": _score(RECORD_FACTS),

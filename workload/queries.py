@@ -337,7 +337,7 @@ def distinct_bus_stops(spark, sf):
 
 
 def _coverage(spark, sf) -> DataFrame:
-    stops = sc.bus_stops(T.route_stops(spark, sf), PARAMS.bus_modes)
+    stops = sc.stop_places(T.route_stops(spark, sf), PARAMS.bus_modes)
     return sc.service_coverage(T.activities(spark, sf), stops, PARAMS.coverage_radius)
 
 
@@ -347,7 +347,7 @@ def service_coverage(spark, sf):
 
 def covered_places(spark, sf):
     places = sc.home_places(sc.person_home(T.activities(spark, sf)))
-    stops = sc.bus_stops(T.route_stops(spark, sf), PARAMS.bus_modes)
+    stops = sc.stop_places(T.route_stops(spark, sf), PARAMS.bus_modes)
     return sc.covered_places(places, stops, PARAMS.coverage_radius)
 
 
@@ -421,11 +421,17 @@ def m_effective_distance(spark, sf):
 
 
 def m_bus_transfer(spark, sf):
+    facts = M.trip_and_transfer_facts(T.trips(spark, sf), _record_buses(spark, sf))
+    return _one(facts, "bus_transfer_rate", M.bus_transfer_rate())
+
+
+def m_bus_transfer_joined(spark, sf):
+    """The form for fleets too large for a set in the expression."""
     trips = T.trips(spark, sf)
     rows = M.trip_facts(trips).unionByName(
         M.transfer_facts(trips, _record_buses(spark, sf)), allowMissingColumns=True
     )
-    facts = rows.agg(*[F.max(c).alias(c) for c in ("n_trips", "pt_trips", "pt_multi")], F.coalesce(F.max("transfers"), F.lit(0)).alias("transfers"))
+    facts = rows.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("n_trips", "pt_trips", "pt_multi", "transfers")])
     return _one(facts, "bus_transfer_rate", M.bus_transfer_rate())
 
 
@@ -618,6 +624,7 @@ QUERIES = {
     "m_bus_efficiency": m_bus_efficiency,
     "m_effective_distance": m_effective_distance,
     "m_bus_transfer": m_bus_transfer,
+    "m_bus_transfer_joined": m_bus_transfer_joined,
     "m_revenue_hours": m_revenue_hours,
     # scores
     "score_record": score_record,
