@@ -18,12 +18,12 @@ def boarding_log(events: DataFrame, buses: DataFrame) -> DataFrame:
     )
 
 
-def bus_boardings(events: DataFrame, buses: DataFrame) -> DataFrame:
+def bus_boardings(events: DataFrame, buses: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """One row per person who boards a bus under a registered driver, the driver excepted.
 
     The driver is the latest one to start on the bus since it last left traffic.
     """
-    return by_key(boarding_log(events, buses), "bus", _boardings, sized_by=vehicle_events(events, *_TYPES))
+    return by_key(boarding_log(events, buses), "bus", _boardings, vehicle_events(events, *_TYPES), heavy)
 
 
 def _boardings(log: Ordered) -> DataFrame:

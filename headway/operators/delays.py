@@ -18,13 +18,13 @@ def delay_log(events: DataFrame, buses: DataFrame) -> DataFrame:
     )
 
 
-def bus_stop_delays(events: DataFrame, buses: DataFrame) -> DataFrame:
+def bus_stop_delays(events: DataFrame, buses: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Pair each departure from a stop with the bus's arrival just before it.
 
     Arrivals that name no facility are not seen at all. A departure right after
     another departure has no arrival to pair with.
     """
-    return by_key(delay_log(events, buses), "bus", _pairs, sized_by=vehicle_events(events, S.ARRIVES, S.DEPARTS))
+    return by_key(delay_log(events, buses), "bus", _pairs, vehicle_events(events, S.ARRIVES, S.DEPARTS), heavy)
 
 
 def _pairs(log: Ordered) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.operators.skew import lookup
+from headway.operators.skew import heavy_keys, lookup
 
 
 def rejects(events: DataFrame) -> DataFrame:
@@ -40,6 +40,13 @@ def vehicle_events(events: DataFrame, *types: str) -> DataFrame:
     return events.filter(F.col("type").isin(*types)).withColumn("bus", about)
 
 
+def heavy_vehicles(events: DataFrame) -> DataFrame:
+    """Vehicles with too many events for one task, to be found once for several operators."""
+    about = vehicle_events(events, *S.VEHICLE_EVENTS).select("bus")
+    heavy = heavy_keys(about, ["bus"])
+    return about.sparkSession.createDataFrame([], about.schema) if heavy is None else heavy
+
+
 def bus_events(events: DataFrame, buses: DataFrame, *types: str) -> DataFrame:
     """:func:`vehicle_events` restricted to buses (``buses``: column ``vehicle_id``)."""
     ids = buses.select(F.col("vehicle_id").alias("bus"))

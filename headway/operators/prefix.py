@@ -116,14 +116,22 @@ class Ordered:
 
 
 def by_key(
-    events: DataFrame, key: str, recipe: Callable[[Ordered], DataFrame], sized_by: DataFrame | None = None
+    events: DataFrame,
+    key: str,
+    recipe: Callable[[Ordered], DataFrame],
+    sized_by: DataFrame,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Run ``recipe`` on all keys: ordinary ones in one task each, heavy ones in chunks.
 
-    Keys are counted in ``sized_by``, the events before any join (default: ``events``).
+    Heavy keys are looked for in ``sized_by`` (the events before any join), unless
+    they are given; an empty frame says that there are none.
     """
     events = events.filter(F.col(key).isNotNull())
-    heavy = heavy_keys(events if sized_by is None else sized_by, [key])
+    if heavy is None:
+        heavy = heavy_keys(sized_by, [key])
+    elif heavy.isEmpty():
+        heavy = None
     if heavy is None:
         return recipe(Ordered(events, key))
     heavy = F.broadcast(heavy)

@@ -86,9 +86,9 @@ def person_home(activities: DataFrame) -> DataFrame:
     homes = (
         activities.filter("selected")
         .groupBy("person_id")
-        .agg(F.min_by(F.struct("x", "y"), home_seq).alias("home"))
+        .agg(*[F.min_by(c, home_seq).alias(c) for c in ("x", "y")])
     )
-    return homes.select("person_id", "home.x", "home.y")
+    return homes.select("person_id", "x", "y")
 
 
 def home_places(homes: DataFrame) -> DataFrame:

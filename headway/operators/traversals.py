@@ -53,12 +53,14 @@ def bus_log(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFram
     return lookup(log, link_km.select(F.col("link_id").alias("link"), "km"), ["link"], "left", "seq")
 
 
-def bus_link_traversals(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
+def bus_link_traversals(
+    events: DataFrame, buses: DataFrame, link_km: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
     """One row each time a bus in traffic leaves a link of known length.
 
     ``have_passenger`` tells whether anyone was on board when the link was entered.
     """
-    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log)))
+    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log)), heavy)
 
 
 def occupancy_violations(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
@@ -77,11 +79,11 @@ def bus_active_state(events: DataFrame, buses: DataFrame) -> DataFrame:
 
     kinds = (S.ENTERS_TRAFFIC, S.LEAVES_TRAFFIC, S.ENTERED_LINK, S.LEFT_LINK)
     log = bus_events(events, buses, *kinds).select("seq", "type", "bus", "link")
-    return by_key(log, "bus", recipe, sized_by=vehicle_events(events, *kinds))
+    return by_key(log, "bus", recipe, vehicle_events(events, *kinds))
 
 
-def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe) -> DataFrame:
-    return by_key(bus_log(events, buses, link_km), "bus", recipe, sized_by=vehicle_events(events, *_TYPES))
+def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe, heavy=None) -> DataFrame:
+    return by_key(bus_log(events, buses, link_km), "bus", recipe, vehicle_events(events, *_TYPES), heavy)
 
 
 def bus_occupancy(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:

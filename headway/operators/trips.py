@@ -42,7 +42,7 @@ def person_trips(events: DataFrame, blacklist: DataFrame) -> DataFrame:
 
     Trips that used no vehicle, or only blacklisted ones, are left out.
     """
-    return by_key(trip_log(events, blacklist), "person", _trips, sized_by=_trip_events(events))
+    return by_key(trip_log(events, blacklist), "person", _trips, _trip_events(events))
 
 
 def _trips(log: Ordered) -> DataFrame:

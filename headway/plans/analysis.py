@@ -10,7 +10,7 @@ from headway.config import Params, Weights
 from headway.operators import scenario as sc
 from headway.operators.boardings import bus_boardings
 from headway.operators.delays import bus_stop_delays
-from headway.operators.events import valid_events
+from headway.operators.events import heavy_vehicles, valid_events
 from headway.operators.traversals import bus_link_traversals
 from headway.operators.trips import person_trips
 from headway.plans.metrics import facts
@@ -45,10 +45,11 @@ def extract_records(events: DataFrame, scenario: Scenario, params: Params) -> di
     """The four record tables of an event log."""
     events = valid_events(events)
     buses, km = scenario.buses(params), sc.link_km(scenario.links)
+    heavy = heavy_vehicles(events)
     return {
-        "bus_pax_records": bus_boardings(events, buses),
-        "bus_delay_records": bus_stop_delays(events, buses),
-        "bus_trip_records": bus_link_traversals(events, buses, km),
+        "bus_pax_records": bus_boardings(events, buses, heavy),
+        "bus_delay_records": bus_stop_delays(events, buses, heavy),
+        "bus_trip_records": bus_link_traversals(events, buses, km, heavy),
         "trip_records": person_trips(events, scenario.blacklist(params)),
     }
 

@@ -22,6 +22,18 @@ TRANSIT_MODE = "pt"
 CAR_MODE = "car"
 # ----------------------------------------------------------------------------
 
+VEHICLE_EVENTS = (
+    DRIVER_STARTS,
+    PERSON_ENTERS,
+    PERSON_LEAVES,
+    ENTERS_TRAFFIC,
+    LEAVES_TRAFFIC,
+    ENTERED_LINK,
+    LEFT_LINK,
+    ARRIVES,
+    DEPARTS,
+)
+
 EVENT_ATTRIBUTES = (
     "person",
     "vehicle",
