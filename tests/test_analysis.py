@@ -29,7 +29,7 @@ def scenario(spark):
 
 
 def test_records_of_heavy_vehicles(spark, scenario, skewed):
-    log = logs.random_log(2, 400)
+    log = logs.random_log(19, 400)
     got = extract_records(logs.frame(spark, log), scenario, Params())
     assert got["bus_pax_records"].count() == len(logs.boardings(log, ["v0", "v1"]))
     assert got["bus_delay_records"].count() == len(logs.delays(log, ["v0", "v1"]))
@@ -39,7 +39,7 @@ def test_records_of_heavy_vehicles(spark, scenario, skewed):
 
 @pytest.mark.parametrize("format", ["columnar", "csv"])
 def test_xml_to_score(spark, scenario, tmp_path, format):
-    log = logs.random_log(2, 400)
+    log = logs.random_log(19, 400)
     with open(tmp_path / "events.xml", "w") as f:
         f.write("<events>\n")
         for e in log:

@@ -20,7 +20,7 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def log(spark):
-    return logs.frame(spark, logs.random_log(2, 400)).cache()
+    return logs.frame(spark, logs.random_log(19, 400)).cache()
 
 
 @pytest.fixture(scope="module")
