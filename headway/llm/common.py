@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ def batches(frames: Iterator[pa.RecordBatch], limit: int, size_of: str) -> Itera
     for frame in frames:
         column = frame.column(frame.schema.get_field_index(size_of))
         lengths = np.asarray(
-            pa.compute.binary_length(column.cast(pa.large_binary())).fill_null(0), dtype=np.int64
+            pc.binary_length(column.cast(pa.large_binary())).fill_null(0), dtype=np.int64
         )
         at = 0
         while at < frame.num_rows:

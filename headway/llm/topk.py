@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,7 +120,7 @@ def search(index: Index, ids: np.ndarray, queries: np.ndarray, own: np.ndarray,
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     """Vectors as rows; shorter ones are filled up with zeros."""
     flat = column.combine_chunks()
-    lengths = np.asarray(pa.compute.list_value_length(flat), dtype=np.int64)
+    lengths = np.asarray(pc.list_value_length(flat), dtype=np.int64)
     out = np.zeros((len(lengths), width), dtype=np.int64)
     rows = np.repeat(np.arange(len(lengths)), lengths)
     places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -161,7 +162,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         if not some.num_rows or not asked.num_rows:
             return schema.empty_table()
         width = max(
-            pa.compute.max(pa.compute.list_value_length(t["v"])).as_py() for t in (some, asked)
+            pc.max(pc.list_value_length(t["v"])).as_py() for t in (some, asked)
         )
         if not width:
             some_v, asked_v = np.zeros((some.num_rows, 1), int), np.zeros((asked.num_rows, 1), int)
