@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import chat, packing, shards, topk, wavelet
+from headway.llm import chat, kneser, packing, shards, simhash, topk, wavelet
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_chat_prefix_targets(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digest(chat.with_control_case(spark, _table(spark, sf, "conversations")))
 
 
+def op2_simhash_pigeonring(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.digest(_table(spark, sf, "documents"))
+
+
 def op4_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
@@ -33,14 +37,20 @@ def op8_wavelet_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return wavelet.digest(_table(spark, sf, "documents"))
 
 
+def op10_kneser_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return kneser.digest(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_prefix_targets,
+        op2_simhash_pigeonring,
         op4_mixture_packing,
         op5_byte_shards,
         op7_impact_topk,
         op8_wavelet_tokens,
+        op10_kneser_quality,
     )
 }
 
