@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import chat, kneser, packing, shards, simhash, topk, wavelet
+from headway.llm import chat, decontaminate, kneser, packing, repeats, shards, simhash, topk, wavelet
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_byte_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shards.digest(_table(spark, sf, "documents"))
 
 
+def op6_latent_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.digest(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op7_impact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.digest(_table(spark, sf, "embeddings"))
 
@@ -37,6 +41,10 @@ def op8_wavelet_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return wavelet.digest(_table(spark, sf, "documents"))
 
 
+def op9_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.digest(_table(spark, sf, "documents"))
+
+
 def op10_kneser_quality(spark: SparkSession, sf: str) -> DataFrame:
     return kneser.digest(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -48,8 +56,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_simhash_pigeonring,
         op4_mixture_packing,
         op5_byte_shards,
+        op6_latent_decontamination,
         op7_impact_topk,
         op8_wavelet_tokens,
+        op9_repeated_passages,
         op10_kneser_quality,
     )
 }
