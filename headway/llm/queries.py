@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import chat, decontaminate, kneser, packing, repeats, shards, simhash, topk, wavelet
+from headway.llm import chat, decontaminate, kneser, packing, pages, repeats, shards, simhash, topk, wavelet
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_simhash_pigeonring(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.digest(_table(spark, sf, "documents"))
 
 
+def op3_boosted_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.extract(_table(spark, sf, "pages"))
+
+
 def op4_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_chat_prefix_targets,
         op2_simhash_pigeonring,
+        op3_boosted_extraction,
         op4_mixture_packing,
         op5_byte_shards,
         op6_latent_decontamination,
