@@ -164,13 +164,17 @@ def write(
 
     The files go out through Spark's writer, so they can lie in any store it knows: a
     row (``pid``, ``file``, ``before``, ``tokens``, ``data``) is one whole file. ``pid`` and
-    ``file`` give their order, ``before`` counts the tokens of the partition's files so far. Documents with equal ids stay next to each other in the order of
-    their tokens; a null doc_id goes first and is kept as the smallest 64-bit integer.
+    ``file`` give their order, ``before`` counts the tokens of the partition's files so far. Documents with equal ids stay next to each other, in the order of
+    a hash of their texts; a null doc_id goes first and is kept as the smallest 64-bit integer.
     No row is left out; a null or empty text is a document of the closing id alone. A
     file ends with the document that fills it.
     """
     ready(docs.sparkSession)
-    rows = ranged(tokenized(docs, ["doc_id"], end, path), "doc_id", "ids")
+    # texts are put in order before they are tokenised: a range shuffle looks at its rows twice
+    ordered = ranged(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("tie")), "doc_id", "tie"
+    )
+    rows = tokenized(ordered, ["doc_id"], end, path)
 
     def files(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, file, before, held, ids, size = partition_id(), 0, 0, [], [], 0
