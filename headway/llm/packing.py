@@ -107,7 +107,7 @@ def pack(
     Result: doc_id, start, length, ids_crc32 (of the piece's ids as 32-bit integers),
     doc_tokens (with the closing id), sequence_id, offset, queue. A null text is a
     closing id only, a null source counts as the empty one, null doc_ids go first in
-    their queue, equal doc_ids follow each other in the order of their tokens.
+    their queue, equal doc_ids follow each other in the order of a hash of their texts.
     """
     spark = ready(docs.sparkSession)
     names = _queues(docs, queues)
@@ -116,7 +116,14 @@ def pack(
     if names:
         known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
         queue = F.coalesce(F.element_at(known, F.coalesce("source", F.lit(""))), queue)
-    rows = tokenized(docs.select("doc_id", "text", queue.alias("queue")), ["doc_id", "queue"], end, path)
+    # texts are put in order before they are tokenised: a range shuffle looks at its rows twice
+    ordered = ranged(
+        docs.select("doc_id", "text", queue.alias("queue"), F.xxhash64("text").alias("tie")),
+        "queue",
+        "doc_id",
+        "tie",
+    )
+    rows = tokenized(ordered, ["doc_id", "queue"], end, path)
 
     def places(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, ends = partition_id(), {}
@@ -131,7 +138,7 @@ def pack(
             )
 
     local = stage(
-        ranged(rows, "queue", "doc_id", "ids").mapInArrow(
+        rows.mapInArrow(
             places, "doc_id bigint, queue int, ids binary, n_tokens bigint, pid int, at bigint"
         ),
         "packing",
