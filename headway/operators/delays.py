@@ -14,7 +14,7 @@ def delay_log(events: DataFrame, buses: DataFrame) -> DataFrame:
     return (
         bus_events(events, buses, S.ARRIVES, S.DEPARTS)
         .filter((F.col("type") == S.DEPARTS) | F.col("facility").isNotNull())
-        .select("seq", "type", "bus", "facility", "delay")
+        .select("seq", "type", "bus", "facility", F.coalesce("delay", F.lit(float("nan"))).alias("delay"))
     )
 
 

@@ -78,16 +78,12 @@ def transit_route_ratio(links: DataFrame, route_links: DataFrame, modes: Sequenc
 
 
 def person_home(activities: DataFrame) -> DataFrame:
-    """Every person of the selected plans with the place of their first home activity.
+    """Every person with the place of the first home activity of the selected plan.
 
     Persons without one keep null coordinates.
     """
-    home_seq = F.when(F.col("act_type") == S.HOME, F.col("act_seq"))
-    homes = (
-        activities.filter("selected")
-        .groupBy("person_id")
-        .agg(*[F.min_by(c, home_seq).alias(c) for c in ("x", "y")])
-    )
+    home_seq = F.when(F.col("selected") & (F.col("act_type") == S.HOME), F.col("act_seq"))
+    homes = activities.groupBy("person_id").agg(*[F.min_by(c, home_seq).alias(c) for c in ("x", "y")])
     return homes.select("person_id", "x", "y")
 
 
@@ -144,7 +140,8 @@ def service_coverage(activities: DataFrame, stops: DataFrame, radius: float) ->
 
 
 def population(activities: DataFrame) -> DataFrame:
-    return activities.filter("selected").agg(F.countDistinct("person_id").alias("population"))
+    """Persons, with or without a plan."""
+    return activities.agg(F.countDistinct("person_id").alias("population"))
 
 
 def network_bounds(nodes: DataFrame, stops: DataFrame, pad: float = 1.0) -> DataFrame:

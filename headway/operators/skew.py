@@ -1,10 +1,8 @@
 """Guards against keys that hold a large share of all rows.
 
-Every guard rests on one bounded pre-pass: count rows per key (combined on the
-map side, one column read) and keep only keys above a limit. At most
-``MAX_HEAVY_KEYS`` keys are ever treated as heavy, so whatever is broadcast for
-them has a fixed size bound; keys beyond the bound simply stay on the ordinary
-path, which is right for any key and merely slower for a big one.
+Every guard rests on one pre-pass: count rows per key (combined on the map side,
+one column read) and keep only keys above a limit. There can be no more such keys
+than rows divided by the limit, which bounds whatever is broadcast for them.
 """
 
 from __future__ import annotations
@@ -15,9 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HEAVY_ROWS = 10_000_000
-MAX_HEAVY_KEYS = 100_000
 HEAVY_ROWS_CONF = "spark.headway.heavyRows"
-BROADCAST_ROWS = 500_000
 
 
 def heavy_rows(spark: SparkSession) -> int:
@@ -32,22 +28,11 @@ def estimated_bytes(df: DataFrame) -> int:
 def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """The keys with more than :func:`heavy_rows` rows, or None if there are none.
 
-    Nothing is counted where all of ``df`` is no larger than one input split: then
-    even a single key makes an ordinary task. An explicit limit is always checked.
+    Rows are counted, whatever size the data has on disk.
     """
     spark = df.sparkSession
-    df = df.select(*keys)
-    if spark.conf.get(HEAVY_ROWS_CONF, None) is None:
-        one_split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-        if estimated_bytes(df) <= one_split:
-            return None
-    counts = df.dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    found = (
-        counts.filter(F.col("n") > heavy_rows(spark))
-        .orderBy(F.desc("n"))
-        .limit(MAX_HEAVY_KEYS)
-        .select(*keys)
-    )
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.filter(F.col("n") > heavy_rows(spark)).select(*keys)
     rows = found.collect()
     return spark.createDataFrame(rows, found.schema) if rows else None
 
@@ -59,19 +44,12 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def small_side(df: DataFrame) -> DataFrame | None:
-    """``df`` ready to be broadcast, or None if it is too large for that.
+    """``df`` if its size estimate allows a broadcast, else None.
 
-    Estimates behind joins are far too high, so where the estimate says no, rows
-    are counted - up to the bound, no further. A negative broadcast threshold
-    switches broadcasting off here as it does in Spark.
+    Estimates behind joins are far too high; Spark's adaptive execution then still
+    broadcasts a side whose measured bytes are within the session's threshold.
     """
-    if fits_broadcast(df):
-        return df
-    if df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() < 0:
-        return None
-    if df.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        return None
-    return F.broadcast(df)
+    return df if fits_broadcast(df) else None
 
 
 def lookup(

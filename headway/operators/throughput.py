@@ -10,10 +10,19 @@ def throughput_counts(events: DataFrame, channel: str = "type") -> DataFrame:
     """Events per (channel, second) and per second over all channels (channel null).
 
     Counted per (channel, second) first; the totals add up those few rows instead
-    of expanding every event twice.
+    of expanding every event twice. A time that is not a number counts as second 0;
+    rows without a time or a channel are not counted.
     """
-    per_channel = events.groupBy(
-        F.col(channel).alias("channel"), F.col("time").cast("long").alias("second")
+    time, most = F.col("time"), 9.2e18
+    second = (
+        F.when(F.isnan(time), 0)
+        .when(time >= most, (1 << 63) - 1)
+        .when(time <= -most, -(1 << 63))
+        .otherwise(time.cast("long"))
+    )
+    known = events.filter(F.col(channel).isNotNull() & time.isNotNull())
+    per_channel = known.groupBy(
+        F.col(channel).alias("channel"), second.alias("second")
     ).agg(F.count(F.lit(1)).alias("n"))
     overall = per_channel.groupBy("second").agg(F.sum("n").alias("n"))
     return per_channel.unionByName(overall, allowMissingColumns=True)

@@ -24,9 +24,6 @@ NO_CAR_SECONDS = 1.0
 NO_DISTANCE_KM = 1e9
 # ------------------------------------------------------------------------------
 
-# Largest fleet that is put into an expression as a set of ids.
-FLEET_BOUND = 10_000
-
 COUNTS = (
     "n_pax",
     "passengers",
@@ -93,25 +90,16 @@ def trip_facts(trips: DataFrame, by: Sequence[str] = (), *extra: Column) -> Data
 
 
 def trip_and_transfer_facts(trips: DataFrame, buses: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """:func:`trip_facts` with ``transfers``: transit trips that change from one bus straight to another.
-
-    A fleet of bounded size becomes a hash set inside the expression, and the trip
-    table is read once without a shuffle of its own. A larger one is joined.
-    """
-    fleet = [r[0] for r in buses.select("vehicle_id").limit(FLEET_BOUND + 1).collect()]
-    if len(fleet) > FLEET_BOUND:
-        parts = trip_facts(trips, by).unionByName(transfer_facts(trips, buses, by), allowMissingColumns=True)
-        names = [c for c in parts.columns if c not in by]
-        return parts.groupBy(*by).agg(*[F.max(c).alias(c) for c in names])
-    v = F.col("veh_list")
-    changes = F.lit(False)
-    if fleet:
-        # As text: thousands of literals made one by one would slow plan building.
-        ids = ", ".join("'" + f.replace("\\", "\\\\").replace("'", "\\'") + "'" for f in fleet)
-        legs = "sequence(1, size(veh_list) - 1)"
-        changes = F.expr(f"exists({legs}, i -> get(veh_list, i - 1) IN ({ids}) AND get(veh_list, i) IN ({ids}))")
-    several = (F.col("main_mode") == S.TRANSIT_MODE) & (F.size(v) >= 2)
-    return trip_facts(trips, by, F.count_if(F.when(several, changes)).alias("transfers"))
+    """:func:`trip_facts` with ``transfers``: transit trips that change from one bus straight
+    to another, 0 where there are trips but no such change. One way for fleets of any size."""
+    parts = trip_facts(trips, by).unionByName(transfer_facts(trips, buses, by), allowMissingColumns=True)
+    names = [c for c in parts.columns if c not in by]
+    return parts.groupBy(*by).agg(
+        *[
+            F.coalesce(F.max(c), F.lit(0).cast("long")).alias(c) if c == "transfers" else F.max(c).alias(c)
+            for c in names
+        ]
+    )
 
 
 def transfer_facts(trips: DataFrame, buses: DataFrame, by: Sequence[str] = ()) -> DataFrame:

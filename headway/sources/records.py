@@ -20,6 +20,16 @@ def table_path(base: str, format: str) -> str:
     return base if base.endswith(extension) else base + extension
 
 
+# Blanks, quotes, line breaks and empty strings come back as they were written.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "nullValue": "\u0001",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def _as_text(df: DataFrame) -> DataFrame:
     lists = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
     return df.withColumns({c: list_to_text(F.col(c)) for c in lists}) if lists else df
@@ -31,7 +41,7 @@ def write_table(df: DataFrame, base: str, format: str = "columnar", mode: str =
     if format.lower() == "csv":
         writer = _as_text(df).write.mode(mode)
         # Quotes inside a cell are doubled, the form other CSV readers expect.
-        writer.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+        writer.options(**_CSV).csv(path)
     else:
         df.write.mode(mode).parquet(path)
     return path
@@ -47,7 +57,7 @@ def read_table(spark: SparkSession, name: str, base: str, format: str = "columna
     flat = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in lists else f.dataType) for f in schema]
     )
-    df = spark.read.schema(flat).option("header", True).option("escape", '"').csv(path)
+    df = spark.read.schema(flat).options(multiLine=True, **_CSV).csv(path)
     return df.withColumns({c: text_to_list(F.col(c)) for c in lists}) if lists else df
 
 

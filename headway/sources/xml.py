@@ -151,15 +151,18 @@ _ACTIVITIES = "array<struct<_type string, _x double, _y double>>"
 
 
 def scan_population(spark: SparkSession, path, element: str = "activity") -> DataFrame:
-    """Activities of all plans in plan order (``element="act"`` for older files)."""
+    """Activities of all plans in plan order (``element="act"`` for older files).
+
+    A person without a plan, or with an empty one, has one row without an activity.
+    """
     people = _read(
         spark, path, "person", f"_id string, plan array<struct<_selected string, {element} {_ACTIVITIES}>>"
     )
-    plans = people.select(F.col("_id").alias("person_id"), F.explode("plan").alias("p"))
+    plans = people.select(F.col("_id").alias("person_id"), F.explode_outer("plan").alias("p"))
     return plans.select(
         "person_id",
         F.coalesce(F.lower("p._selected") == "yes", F.lit(False)).alias("selected"),
-        F.posexplode(f"p.{element}").alias("act_seq", "a"),
+        F.posexplode_outer(f"p.{element}").alias("act_seq", "a"),
     ).select(
         "person_id",
         "selected",

@@ -57,9 +57,7 @@ def test_all_metrics(spark):
     assert r.final_score == pytest.approx(sum(0.1 * r[c] for c in SCORE_COLUMNS[:-1]))
 
 
-@pytest.mark.parametrize("bound", [0, 10])
-def test_transfers_for_small_and_large_fleets(spark, monkeypatch, bound):
-    monkeypatch.setattr("headway.plans.metrics.FLEET_BOUND", bound)
+def test_transfers_with_odd_ids(spark):
     b1, b2 = "bus'\\1", 'bus"2'
     trips = [
         trip("pt", 1, b1, b2, b1), trip("pt", 1, b1, b2, b1), trip("pt", 1, b1, "x", b2),

@@ -109,7 +109,7 @@ CTES = {
         HAVING bool_or(closes AND seq > opener) AND bool_or(k IN (9, 10, 11) AND seq > opener AND vn % 3 <> 0)""",
     "pax": """
         SELECT l_orderkey % 4 AS run_id, 'p' || o_custkey AS person_id, 'v' || l_suppkey AS bus_id
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "bdelay": """
         SELECT l_orderkey % 4 AS run_id, 's' || l_suppkey AS stop_id,
                CASE WHEN l_linenumber <> 7 THEN (l_quantity - 25) * 15 END AS arrival_delay,
@@ -136,9 +136,9 @@ CTES = {
         FROM trip_lists JOIN orders ON l_orderkey = o_orderkey""",
     "rlinks": """
         SELECT CAST(l_suppkey AS VARCHAR) AS line_id, l_suppkey, l_returnflag, 'l' || l_partkey AS link_id,
-               CASE WHEN l_suppkey % 3 = 0 AND l_returnflag = 'R' THEN 'bus'
-                    WHEN l_suppkey % 3 = 1 AND l_returnflag = 'A' THEN 'pt' ELSE 'train' END AS mode
-        FROM lineitem WHERE l_orderkey % 10 = 0""",
+               CASE WHEN l_suppkey % 50 = 0 AND l_returnflag = 'R' THEN 'bus'
+                    WHEN l_suppkey % 50 = 1 AND l_returnflag = 'A' THEN 'pt' ELSE 'train' END AS mode
+        FROM lineitem""",
     "kept": "SELECT DISTINCT line_id FROM rlinks WHERE mode IN ('bus', 'pt')",
     "clinks": "SELECT DISTINCT link_id FROM rlinks WHERE line_id IN (SELECT line_id FROM kept)",
     "bstops": """

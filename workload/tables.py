@@ -121,7 +121,7 @@ def _lines(spark, sf) -> DataFrame:
 
 def bus_pax(spark, sf) -> DataFrame:
     orders = raw(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    lines = _lines(spark, sf).filter("l_returnflag = 'R'")
+    lines = _lines(spark, sf)
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("l_orderkey") % 4).alias("run_id"),
         tag("p", "o_custkey").alias("person_id"),
@@ -214,11 +214,10 @@ def nodes(spark, sf) -> DataFrame:
 def route_links(spark, sf) -> DataFrame:
     line, flag = F.col("l_suppkey"), F.col("l_returnflag")
     mode = (
-        F.when((line % 3 == 0) & (flag == "R"), "bus").when((line % 3 == 1) & (flag == "A"), "pt").otherwise("train")
+        F.when((line % 50 == 0) & (flag == "R"), "bus").when((line % 50 == 1) & (flag == "A"), "pt").otherwise("train")
     )
     return (
         _lines(spark, sf)
-        .filter("l_orderkey % 10 = 0")
         .select(
             line.cast("string").alias("line_id"),
             F.concat_ws("-", line.cast("string"), flag).alias("route_id"),
