@@ -286,3 +286,12 @@ def test_pipeline(spark, docs):
         counts.append(frame.count())
     assert docs.count() > counts[0] >= counts[-1] > 0
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_latent_sample_is_the_least_hashes(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SAMPLE", 8)
+    _, known = decontaminate.weights(docs)
+    least = docs.filter("text is not null").orderBy(F.xxhash64("doc_id", "text")).limit(8)
+    assert known == docs.filter("text is not null").count() > 16
+    got = sorted(r.text for r in decontaminate.sampled(docs, known).collect())
+    assert len(got) == 8 and got == sorted(r.text for r in least.collect())
