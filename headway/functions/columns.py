@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from headway import schemas as S
+
 INF = float("inf")
 
 
@@ -53,3 +55,8 @@ def text_to_list(text: Column) -> Column:
     # A bare list is no valid JSON: the parser then gives null or a null element.
     usable = parsed.isNotNull() & ~F.exists(parsed, lambda v: v.isNull())
     return F.when(usable, parsed).otherwise(split)
+
+
+def emission(wanted: bool, time: str = "time") -> list[Column]:
+    """The time at which a record is complete, if wanted."""
+    return [F.col(time).alias(S.EMITTED_AT)] if wanted else []

@@ -2,31 +2,38 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
+from headway.functions.columns import emission
 from headway.operators.events import bus_events, vehicle_events
 from headway.operators.prefix import Ordered, by_key
 
 _TYPES = (S.DRIVER_STARTS, S.PERSON_ENTERS, S.LEAVES_TRAFFIC)
 
 
-def boarding_log(events: DataFrame, buses: DataFrame) -> DataFrame:
+def boarding_log(events: DataFrame, buses: DataFrame, *extra: str) -> DataFrame:
     return bus_events(events, buses, *_TYPES).select(
-        "seq", "type", "bus", "person", F.col("driverId").alias("starting")
+        "seq", "type", "bus", "person", F.col("driverId").alias("starting"), *extra
     )
 
 
-def bus_boardings(events: DataFrame, buses: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def bus_boardings(
+    events: DataFrame, buses: DataFrame, heavy: DataFrame | None = None, emitted: bool = False
+) -> DataFrame:
     """One row per person who boards a bus under a registered driver, the driver excepted.
 
     The driver is the latest one to start on the bus since it last left traffic.
+    ``emitted`` adds the time of boarding.
     """
-    return by_key(boarding_log(events, buses), "bus", _boardings, vehicle_events(events, *_TYPES), heavy)
+    log = boarding_log(events, buses, *(["time"] if emitted else []))
+    return by_key(log, "bus", partial(_boardings, emitted), vehicle_events(events, *_TYPES), heavy)
 
 
-def _boardings(log: Ordered) -> DataFrame:
+def _boardings(emitted: bool, log: Ordered) -> DataFrame:
     kind = F.col("type")
     in_charge = F.when(
         (kind == S.DRIVER_STARTS) & F.col("starting").isNotNull(),
@@ -34,5 +41,5 @@ def _boardings(log: Ordered) -> DataFrame:
     ).when(kind == S.LEAVES_TRAFFIC, F.struct(F.lit(None).cast("string").alias("id")))
     rows = log.before(last={"driver": in_charge}).df
     return rows.filter((kind == S.PERSON_ENTERS) & (F.col("person") != F.col("driver.id"))).select(
-        F.col("person").alias("person_id"), F.col("bus").alias("bus_id")
+        F.col("person").alias("person_id"), F.col("bus").alias("bus_id"), *emission(emitted)
     )

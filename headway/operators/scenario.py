@@ -31,42 +31,53 @@ def link_km(links: DataFrame) -> DataFrame:
 
 
 def bus_lines(route_parts: DataFrame, modes: Sequence[str]) -> DataFrame:
-    """Lines with at least one route of a listed mode (from route links or stops)."""
+    """Lines with at least one route of a listed mode (from routes, or route links or stops)."""
     return route_parts.filter(F.col("transport_mode").isin(*modes)).select("line_id").distinct()
 
 
-def covered_links(route_links: DataFrame, modes: Sequence[str]) -> DataFrame:
-    """Distinct links on any route of a kept line, whatever that route's own mode."""
-    return _of_kept_lines(route_links, modes, "link_id").select("link_id").distinct()
+def covered_links(route_links: DataFrame, modes: Sequence[str], routes: DataFrame | None = None) -> DataFrame:
+    """Distinct links on any route of a kept line, whatever that route's own mode.
+
+    ``routes`` names the mode of every route, also of those without inner links; if it
+    is not given, lines are told from the routes in ``route_links`` alone.
+    """
+    return _of_kept_lines(route_links, modes, "link_id", routes=routes).select("link_id").distinct()
 
 
-def bus_stops(route_stops: DataFrame, modes: Sequence[str]) -> DataFrame:
+def bus_stops(route_stops: DataFrame, modes: Sequence[str], routes: DataFrame | None = None) -> DataFrame:
     """Distinct stops of kept lines with their coordinates."""
     place = F.min(F.struct("x", "y")).alias("at")
-    kept = _of_kept_lines(route_stops, modes, "stop_id", place)
+    kept = _of_kept_lines(route_stops, modes, "stop_id", place, routes=routes)
     return kept.groupBy("stop_id").agg(F.min("at").alias("at")).select("stop_id", "at.x", "at.y")
 
 
-def stop_places(route_stops: DataFrame, modes: Sequence[str]) -> DataFrame:
+def stop_places(route_stops: DataFrame, modes: Sequence[str], routes: DataFrame | None = None) -> DataFrame:
     """Distinct coordinates of the stops of kept lines: all that coverage needs."""
-    kept = _of_kept_lines(route_stops.withColumn("at", F.struct("x", "y")), modes, "at")
+    kept = _of_kept_lines(route_stops.withColumn("at", F.struct("x", "y")), modes, "at", routes=routes)
     return kept.select("at").distinct().select("at.x", "at.y")
 
 
-def _of_kept_lines(route_parts: DataFrame, modes: Sequence[str], item: str, *extra) -> DataFrame:
+def _of_kept_lines(
+    route_parts: DataFrame, modes: Sequence[str], item: str, *extra, routes: DataFrame | None = None
+) -> DataFrame:
     """Items of kept lines, once per line: repeats go before anything meets by line."""
+    if routes is not None:
+        items = route_parts.groupBy("line_id", item).agg(*extra) if extra else route_parts.select("line_id", item).distinct()
+        return items.join(bus_lines(routes, modes), ["line_id"], "left_semi")
     listed = F.bool_or(F.col("transport_mode").isin(*modes)).alias("listed")
     items = route_parts.groupBy("line_id", item).agg(listed, *extra)
     kept = items.filter("listed").select("line_id").distinct()
     return items.join(kept, ["line_id"], "left_semi")
 
 
-def transit_route_ratio(links: DataFrame, route_links: DataFrame, modes: Sequence[str]) -> DataFrame:
+def transit_route_ratio(
+    links: DataFrame, route_links: DataFrame, modes: Sequence[str], routes: DataFrame | None = None
+) -> DataFrame:
     """Length of covered links over the length of all links, one row.
 
     Covered links unknown to the network add nothing. An empty network gives NaN.
     """
-    covered = covered_links(route_links, modes).withColumn("covered", F.lit(True))
+    covered = covered_links(route_links, modes, routes).withColumn("covered", F.lit(True))
     flagged = links.select("link_id", "length_m").join(covered, ["link_id"], "left")
     sums = flagged.agg(
         F.coalesce(F.sum(F.when(F.col("covered"), F.col("length_m"))), F.lit(0.0)).alias("part"),

@@ -1,10 +1,15 @@
-"""Events per simulated second."""
+"""Events and records per simulated second."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway import schemas as S
+
 
 def throughput_counts(events: DataFrame, channel: str = "type") -> DataFrame:
     """Events per (channel, second) and per second over all channels (channel null).
@@ -28,6 +33,15 @@ def throughput_counts(events: DataFrame, channel: str = "type") -> DataFrame:
     return per_channel.unionByName(overall, allowMissingColumns=True)
 
 
+def record_throughput(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Records per (table name, second of the event that completes them), and overall.
+
+    The tables are record tables of the operators with ``emitted=True``.
+    """
+    timed = [t.select(F.lit(name).alias("channel"), F.col(S.EMITTED_AT).alias("time")) for name, t in tables.items()]
+    return throughput_counts(reduce(DataFrame.unionByName, timed), "channel")
+
+
 def throughput_peaks(counts: DataFrame) -> DataFrame:
     """The busiest second per channel and overall; the earliest wins a tie."""
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
+from headway.functions.columns import emission
 from headway.operators.events import bus_events, vehicle_events
 from headway.operators.prefix import Ordered, by_key
 from headway.operators.skew import lookup
@@ -54,13 +55,14 @@ def bus_log(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFram
 
 
 def bus_link_traversals(
-    events: DataFrame, buses: DataFrame, link_km: DataFrame, heavy: DataFrame | None = None
+    events: DataFrame, buses: DataFrame, link_km: DataFrame, heavy: DataFrame | None = None, emitted: bool = False
 ) -> DataFrame:
     """One row each time a bus in traffic leaves a link of known length.
 
     ``have_passenger`` tells whether anyone was on board when the link was entered.
+    ``emitted`` adds the time of leaving.
     """
-    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log)), heavy)
+    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log), emitted), heavy)
 
 
 def occupancy_violations(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def on_board() -> Column:
     return F.col("riders") - F.col("riders_at_start")
 
 
-def _traversals(rows: DataFrame) -> DataFrame:
+def _traversals(rows: DataFrame, emitted: bool) -> DataFrame:
     exits = _is(S.LEFT_LINK, S.LEAVES_TRAFFIC) & (F.col("active") == 1)
     return rows.filter(exits & F.col("here.km").isNotNull()).select(
         F.col("bus").alias("bus_id"),
@@ -153,6 +155,7 @@ def _traversals(rows: DataFrame) -> DataFrame:
         F.col("here.km").alias("link_length"),
         (F.col("time") - F.col("here.since")).alias("travel_time"),
         (F.col("riders_at_link") > F.col("riders_at_start")).alias("have_passenger"),
+        *emission(emitted),
     )
 
 

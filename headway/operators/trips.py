@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
+from headway.functions.columns import emission
 from headway.operators.events import non_driver_events
 from headway.operators.prefix import Ordered, by_key
 from headway.operators.skew import lookup
@@ -37,15 +40,16 @@ def trip_log(events: DataFrame, blacklist: DataFrame) -> DataFrame:
     return lookup(_trip_events(events), banned, ["vehicle"], "left", "seq")
 
 
-def person_trips(events: DataFrame, blacklist: DataFrame) -> DataFrame:
+def person_trips(events: DataFrame, blacklist: DataFrame, emitted: bool = False) -> DataFrame:
     """Trips from a departure to the next real activity, with the vehicles boarded.
 
     Trips that used no vehicle, or only blacklisted ones, are left out.
+    ``emitted`` adds the time of arrival.
     """
-    return by_key(trip_log(events, blacklist), "person", _trips, _trip_events(events))
+    return by_key(trip_log(events, blacklist), "person", partial(_trips, emitted), _trip_events(events))
 
 
-def _trips(log: Ordered) -> DataFrame:
+def _trips(emitted: bool, log: Ordered) -> DataFrame:
     opens, boards, closes = (
         F.col("type") == t for t in (S.DEPARTURE, S.PERSON_ENTERS, S.ACTIVITY_START)
     )
@@ -71,6 +75,7 @@ def _trips(log: Ordered) -> DataFrame:
         (F.col("end") - F.col("start.time")).alias("travel_time"),
         F.col("start.mode").alias("main_mode"),
         F.array_sort("boarded")["vehicle"].alias("veh_list"),
+        *emission(emitted, "end"),
     )
 
 

@@ -26,6 +26,8 @@ class Scenario:
     route_stops: DataFrame
     transit_vehicles: DataFrame
     activities: DataFrame
+    #: Modes of all routes; without it a line is known by its route links and stops.
+    routes: DataFrame | None = None
 
     def buses(self, params: Params) -> DataFrame:
         return sc.buses(self.transit_vehicles, params.bus_types)
@@ -34,10 +36,10 @@ class Scenario:
         return sc.blacklist(self.transit_vehicles, params.bus_types)
 
     def facts(self, params: Params) -> DataFrame:
-        stops = sc.stop_places(self.route_stops, params.bus_modes)
+        stops = sc.stop_places(self.route_stops, params.bus_modes, self.routes)
         return scenario_facts(
             sc.service_coverage(self.activities, stops, params.coverage_radius),
-            sc.transit_route_ratio(self.links, self.route_links, params.bus_modes),
+            sc.transit_route_ratio(self.links, self.route_links, params.bus_modes, self.routes),
         )
 
 
@@ -69,12 +71,16 @@ def analyse(
     params: Params = Params(),
     weights: Weights = Weights(),
     format: str = "columnar",
+    record: bool = True,
 ) -> DataFrame:
-    """Write the four record tables below ``out`` and score what was written."""
+    """Write the four record tables below ``out`` and score what was written.
+
+    ``record`` works out metrics of weight zero as well, for the score record.
+    """
     spark = events.sparkSession
     written = {}
     for name, table in extract_records(events, scenario, params).items():
         base = f"{out.rstrip('/')}/{name}"
         write_table(table, base, format, mode="overwrite")
         written[name] = read_table(spark, name, base, format)
-    return score_records(written, scenario, params, weights)
+    return score_records(written, scenario, params, weights, record)

@@ -96,8 +96,12 @@ def check_weights(weights: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def weighted_scores(scores: DataFrame, weights: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Final score of each run under weights that come as a table (``by``, name, weight)."""
+    """Final score of each run under weights that come as a table (``by``, name, weight).
+
+    A run that lacks the weight of a metric has no score (null).
+    """
     long = scores.unpivot(list(by), [c for c in SCORE_COLUMNS if c != "final_score"], "name", "value")
-    return long.join(weights, [*by, "name"]).groupBy(*by).agg(
-        F.sum(F.col("value") * F.col("weight")).alias("final_score")
+    complete = F.count("weight") == F.count(F.lit(1))
+    return long.join(weights, [*by, "name"], "left").groupBy(*by).agg(
+        F.when(complete, F.sum(F.col("value") * F.col("weight"))).alias("final_score")
     )

@@ -87,6 +87,9 @@ RECORDS = {
     ),
 }
 
+#: Time of the event that completes a record, where operators are asked for it.
+EMITTED_AT = "emitted_at"
+
 SCENARIO = {
     "links": _struct(
         ("link_id", _S, True), ("from_node", _S, True), ("to_node", _S, True), ("length_m", _D, True)
@@ -108,6 +111,7 @@ SCENARIO = {
         ("x", _D, True),
         ("y", _D, True),
     ),
+    "routes": _struct(("line_id", _S, True), ("route_id", _S, True), ("transport_mode", _S, True)),
     "transit_vehicles": _struct(("vehicle_id", _S, True), ("type_id", _S, True)),
     "activities": _struct(
         ("person_id", _S, True),

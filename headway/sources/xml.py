@@ -113,6 +113,16 @@ _LINE_XML = """
 """
 
 
+def scan_routes(spark: SparkSession, path) -> DataFrame:
+    """Every route of a transit schedule file with its line and mode."""
+    routes = _read(
+        spark, path, "transitLine", "_id string, transitRoute array<struct<_id string, transportMode string>>"
+    ).select(F.col("_id").alias("line_id"), F.explode("transitRoute").alias("r"))
+    return routes.select(
+        "line_id", F.col("r._id").alias("route_id"), F.trim("r.transportMode").alias("transport_mode")
+    )
+
+
 def scan_schedule(
     spark: SparkSession, path, include_terminal_links: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,8 @@ import math
 from headway.operators.delays import delay_log
 from headway.operators.scenario import population
 from headway.operators.skew import HEAVY_ROWS_CONF, heavy_keys
-from headway.operators.throughput import throughput_counts
+from headway.operators.throughput import record_throughput, throughput_counts
+from headway.plans.score import SCORE_COLUMNS, weighted_scores
 from headway.sources.records import read_table, write_table
 
 
@@ -49,3 +50,21 @@ def test_persons_without_plans_count(spark):
     rows = [("a", True, 0, "home", 1.0, 2.0), ("b", False, None, None, None, None)]
     schema = "person_id string, selected boolean, act_seq int, act_type string, x double, y double"
     assert population(spark.createDataFrame(rows, schema)).first()[0] == 2
+
+
+def test_records_per_second(spark):
+    table = lambda times: spark.createDataFrame([(t,) for t in times], "emitted_at double")
+    counts = record_throughput({"a": table([1.0, 1.9, math.nan]), "b": table([1.5]), "c": table([])})
+    assert {(r.channel, r.second): r.n for r in counts.collect()} == {
+        ("a", 1): 2, ("a", 0): 1, ("b", 1): 1, (None, 1): 3, (None, 0): 1,
+    }
+
+
+def test_missing_weight_gives_no_score(spark):
+    columns = [c for c in SCORE_COLUMNS if c != "final_score"]
+    scores = spark.createDataFrame([(r, *[1.0] * len(columns), 0.0) for r in (1, 2)], ["run_id", *columns, "final_score"])
+    weights = spark.createDataFrame(
+        [(r, c, 0.1) for r in (1, 2) for c in columns if (r, c) != (2, columns[0])], "run_id long, name string, weight double"
+    )
+    got = {r.run_id: r.final_score for r in weighted_scores(scores, weights, ["run_id"]).collect()}
+    assert abs(got[1] - 0.1 * len(columns)) < 1e-9 and got[2] is None

@@ -7,7 +7,7 @@ import pytest
 
 from headway import schemas as S
 from headway.operators.events import valid_events
-from headway.operators.scenario import person_home
+from headway.operators.scenario import covered_links, person_home
 from headway.sources import records as io
 from headway.sources import xml
 
@@ -178,3 +178,21 @@ def test_score_file_keeps_odd_numbers(spark, tmp_path):
     row = io.read_score(spark, str(tmp_path / "score"), score.schema).collect()[0]
     assert math.isnan(row.a) and row.b == float("inf") and row.c == 0.5
     assert spark.read.parquet(str(tmp_path / "history")).count() == 2
+
+
+def test_two_link_bus_route_keeps_its_line(spark, tmp_path):
+    route = (
+        '<transitRoute id="{0}"><transportMode>{1}</transportMode><route>{2}</route></transitRoute>'
+    )
+    links = lambda ids: "".join(f'<link refId="{i}"/>' for i in ids)
+    (tmp_path / "schedule.xml").write_text(
+        '<transitSchedule><transitLine id="L">' + route.format("R1", "bus", links("ab"))
+        + route.format("R2", "train", links("acdb")) + "</transitLine></transitSchedule>"
+    )
+    path = str(tmp_path / "schedule.xml")
+    routes = xml.scan_routes(spark, path)
+    assert sorted(tuple(r) for r in routes.collect()) == [("L", "R1", "bus"), ("L", "R2", "train")]
+    inner, _ = xml.scan_schedule(spark, path)
+    covered = covered_links(inner, ["bus"], routes)
+    assert sorted(r.link_id for r in covered.collect()) == ["c", "d"]
+    assert covered_links(inner, ["bus"]).count() == 0

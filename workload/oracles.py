@@ -159,6 +159,14 @@ CTES = {
     "counts": """
         SELECT type AS channel, CAST(trunc(time) AS BIGINT) AS second, count(*) AS n FROM log GROUP BY 1, 2
         UNION ALL SELECT '(all)', CAST(trunc(time) AS BIGINT), count(*) FROM log GROUP BY 2""",
+    "emitted": """
+        SELECT 'bus_pax_records' AS channel, time FROM boardings
+        UNION ALL SELECT 'bus_delay_records', time FROM stops_seen WHERE k = 17 AND pk IN (15, 16)
+        UNION ALL SELECT 'bus_trip_records', time FROM w3e WHERE k IN (6, 7, 8, 14) AND active = 1 AND km IS NOT NULL
+        UNION ALL SELECT 'trip_records', end_time FROM ptrips""",
+    "rcounts": """
+        SELECT channel, CAST(trunc(time) AS BIGINT) AS second, count(*) AS n FROM emitted GROUP BY 1, 2
+        UNION ALL SELECT '(all)', CAST(trunc(time) AS BIGINT), count(*) FROM emitted GROUP BY 2""",
     "weights": """
         SELECT run_id, name, n / CAST(sum(n) OVER (PARTITION BY run_id) AS DOUBLE) AS weight FROM (
             SELECT o_orderkey % 4 AS run_id,
@@ -283,6 +291,10 @@ BODIES = {
     f" FROM ({ROUTES}), (SELECT CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS i)",
     "scan_schedule_stops": f"SELECT line_id, route_id, transport_mode, CAST(0 AS INTEGER) AS stop_seq, 's' || s_suppkey AS stop_id,"
     f" CAST(s_suppkey * 6151 % 10007 AS DOUBLE) AS x, CAST(s_suppkey * 3571 % 10009 AS DOUBLE) AS y FROM ({ROUTES})",
+    "scan_routes": f"SELECT line_id, route_id, transport_mode FROM ({ROUTES})",
+    "covered_links_by_routes": f"SELECT DISTINCT 'l' || ((s_suppkey * 31 + r * 5 + i * 7) % 200) AS link_id"
+    f" FROM ({ROUTES}), (SELECT unnest([1, 2, 3, 4]) AS i) WHERE transport_mode <> 'bus'"
+    f" AND line_id IN (SELECT line_id FROM ({ROUTES}) WHERE transport_mode = 'bus')",
     "scan_transit_vehicles": VEHICLES,
     "scan_population": "SELECT * FROM homes",
     "sink_columnar_roundtrip": f"{DELAY_ROWS} bdelay",
@@ -322,6 +334,8 @@ BODIES = {
     "population": "SELECT count(*) AS population FROM customer",
     "throughput_counts": "SELECT * FROM counts",
     "throughput_peaks": PEAKS,
+    "record_throughput_counts": "SELECT * FROM rcounts",
+    "record_throughput_peaks": PEAKS.replace("FROM counts", "FROM rcounts"),
     "m_ridership": _metric("ridership"),
     "m_on_time": _metric("on_time_perf"),
     "m_travel_time": _metric("travel_time"),

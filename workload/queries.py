@@ -177,8 +177,8 @@ def scan_network_nodes(spark, sf):
     return _network(spark, sf)[1]
 
 
-def _schedule(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """A schedule with one line of two routes per supplier, six links each."""
+def _schedule(spark, sf) -> list[str]:
+    """Files of a schedule with one line of two routes per supplier, six links each."""
     key = F.col("s_suppkey")
 
     def route(number: int) -> Column:
@@ -204,15 +204,26 @@ def _schedule(spark, sf) -> tuple[DataFrame, DataFrame]:
         ((key * 3571) % 10009).cast("double").alias("_y"),
     )
     paths = [_write_xml(lines, "transitSchedule", "transitLine"), _write_xml(stops, "transitStops", "stopFacility")]
-    return xml.scan_schedule(spark, [f"{p}/*" for p in paths])
+    return [f"{p}/*" for p in paths]
 
 
 def scan_schedule(spark, sf):
-    return _schedule(spark, sf)[0]
+    return xml.scan_schedule(spark, _schedule(spark, sf))[0]
 
 
 def scan_schedule_stops(spark, sf):
-    return _schedule(spark, sf)[1]
+    return xml.scan_schedule(spark, _schedule(spark, sf))[1]
+
+
+def scan_routes(spark, sf):
+    return xml.scan_routes(spark, _schedule(spark, sf))
+
+
+def covered_links_by_routes(spark, sf):
+    """Lines are kept by their routes, though the links of bus routes are not given."""
+    paths = _schedule(spark, sf)
+    links = xml.scan_schedule(spark, paths)[0].filter("transport_mode <> 'bus'")
+    return sc.covered_links(links, PARAMS.bus_modes, xml.scan_routes(spark, paths))
 
 
 def scan_transit_vehicles(spark, sf):
@@ -370,6 +381,27 @@ def throughput_counts(spark, sf):
     return _totals_named(tp.throughput_counts(T.event_log(spark, sf)))
 
 
+def _record_counts(spark, sf) -> DataFrame:
+    """Records of the four tables per second of the event that completes them."""
+    events, buses = T.event_log(spark, sf), _buses(spark, sf)
+    return tp.record_throughput(
+        {
+            "bus_pax_records": bus_boardings(events, buses, emitted=True),
+            "bus_delay_records": bus_stop_delays(events, buses, emitted=True),
+            "bus_trip_records": tv.bus_link_traversals(events, buses, _km(spark, sf), emitted=True),
+            "trip_records": tr.person_trips(events, _blacklist(spark, sf), emitted=True),
+        }
+    )
+
+
+def record_throughput_counts(spark, sf):
+    return _totals_named(_record_counts(spark, sf))
+
+
+def record_throughput_peaks(spark, sf):
+    return _totals_named(tp.throughput_peaks(_record_counts(spark, sf)))
+
+
 def throughput_peaks(spark, sf):
     return _totals_named(tp.throughput_peaks(tp.throughput_counts(T.event_log(spark, sf))))
 
@@ -579,6 +611,8 @@ QUERIES = {
     "scan_network_nodes": scan_network_nodes,
     "scan_schedule": scan_schedule,
     "scan_schedule_stops": scan_schedule_stops,
+    "scan_routes": scan_routes,
+    "covered_links_by_routes": covered_links_by_routes,
     "scan_transit_vehicles": scan_transit_vehicles,
     "scan_population": scan_population,
     "sink_columnar_roundtrip": sink_columnar_roundtrip,
@@ -615,6 +649,8 @@ QUERIES = {
     # throughput
     "throughput_counts": throughput_counts,
     "throughput_peaks": throughput_peaks,
+    "record_throughput_counts": record_throughput_counts,
+    "record_throughput_peaks": record_throughput_peaks,
     # metrics
     "m_ridership": m_ridership,
     "m_on_time": m_on_time,
