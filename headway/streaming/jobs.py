@@ -17,21 +17,67 @@ from headway.streaming import processors as P
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _stateful(log: DataFrame, key: str, processor: P.KeyedLog, table: str) -> DataFrame:
+LATENESS = "15 minutes"
+#: Files of a landed log per micro-batch: what a hot key may bring at once is bounded by them.
+FILES_PER_TRIGGER = 16
+#: Time of the mark behind the end of a log, in seconds.
+END = 1e11
+_MARK = "time double"
+
+
+def landed_events(spark: SparkSession, path: str, files: int = FILES_PER_TRIGGER) -> DataFrame:
+    """A landed event log as a stream, some files at a time."""
+    return spark.readStream.schema(S.EVENTS).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def end_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream of the mark that :func:`mark_end` leaves in ``folder``."""
+    spark.createDataFrame([], _MARK).write.mode("ignore").parquet(folder)
+    return spark.readStream.schema(_MARK).parquet(folder)
+
+
+def mark_end(spark: SparkSession, folder: str) -> None:
+    """Say that the log is complete: rows still held back come out at the next run."""
+    spark.createDataFrame([(END,)], _MARK).write.mode("append").parquet(folder)
+
+
+def _stateful(
+    log: DataFrame, key: str, processor: P.KeyedLog, table: str, ends: DataFrame | None, lateness: str
+) -> DataFrame:
     log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     fields = [T.StructField(f.name, f.dataType, True) for f in S.RECORDS[table]]
-    output = T.StructType([*fields, T.StructField(P.LATE, T.LongType(), True)])
-    return log.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="None"
+    output = T.StructType(
+        [
+            *fields,
+            T.StructField(S.EMITTED_AT, T.DoubleType(), True),
+            T.StructField(P.LATE, T.LongType(), True),
+            T.StructField(P.LATE_ROW, T.StringType(), True),
+        ]
+    )
+    columns = log.columns
+    if ends is not None:
+        log = log.unionByName(ends, allowMissingColumns=True)
+    at = F.when(~F.isnan("time"), F.timestamp_millis(F.floor(F.least("time", F.lit(END)) * 1000)))
+    # The time column itself goes no further: the processor sets late rows apart, Spark drops none.
+    timed = log.withColumn("at", at).withWatermark("at", lateness).select(*columns)
+    return timed.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
     )
 
 
-def stream_bus_boardings(events: DataFrame, buses: DataFrame) -> DataFrame:
-    return _stateful(boarding_log(events, buses), "bus", P.Boardings(), "bus_pax_records")
+def stream_bus_boardings(
+    events: DataFrame, buses: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
+) -> DataFrame:
+    """Rows are worked on once events ``lateness`` later have come, or the mark in ``ends``."""
+    log = boarding_log(events, buses, "time")
+    return _stateful(log, "bus", P.Boardings(), "bus_pax_records", ends, lateness)
 
 
-def stream_bus_stop_delays(events: DataFrame, buses: DataFrame) -> DataFrame:
-    rows = _stateful(delay_log(events, buses), "bus", P.StopDelays(), "bus_delay_records")
+def stream_bus_stop_delays(
+    events: DataFrame, buses: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
+) -> DataFrame:
+    log = delay_log(events, buses, "time")
+    rows = _stateful(log, "bus", P.StopDelays(), "bus_delay_records", ends, lateness)
     # The way out of pandas turns NaN (no delay given) into null.
     delays = {
         c: F.when(F.col(P.LATE).isNull(), F.coalesce(c, F.lit(float("nan"))))
@@ -40,12 +86,18 @@ def stream_bus_stop_delays(events: DataFrame, buses: DataFrame) -> DataFrame:
     return rows.withColumns(delays)
 
 
-def stream_bus_link_traversals(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
-    return _stateful(bus_log(events, buses, link_km), "bus", P.LinkTraversals(), "bus_trip_records")
+def stream_bus_link_traversals(
+    events: DataFrame, buses: DataFrame, link_km: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
+) -> DataFrame:
+    log = bus_log(events, buses, link_km)
+    return _stateful(log, "bus", P.LinkTraversals(), "bus_trip_records", ends, lateness)
 
 
-def stream_person_trips(events: DataFrame, blacklist: DataFrame) -> DataFrame:
-    return _stateful(trip_log(events, blacklist), "person", P.PersonTrips(), "trip_records")
+def stream_person_trips(
+    events: DataFrame, blacklist: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
+) -> DataFrame:
+    log = trip_log(events, blacklist)
+    return _stateful(log, "person", P.PersonTrips(), "trip_records", ends, lateness)
 
 
 def stream_iteration_filter(events: DataFrame, target: int) -> DataFrame:
@@ -62,13 +114,15 @@ def stream_throughput(events: DataFrame, channel: str = "type", lateness: str =
     )
 
 
-def records(stored: DataFrame) -> DataFrame:
-    """The record rows of a stored stream."""
-    return stored.filter(F.col(P.LATE).isNull()).drop(P.LATE)
+def records(stored: DataFrame, emitted: bool = False) -> DataFrame:
+    """The record rows of a stored stream; ``emitted`` keeps the time that completed them."""
+    rows = stored.filter(F.col(P.LATE).isNull()).drop(P.LATE, P.LATE_ROW)
+    return rows if emitted else rows.drop(S.EMITTED_AT)
 
 
 def late_rows(stored: DataFrame) -> DataFrame:
-    return stored.filter(F.col(P.LATE).isNotNull()).select(P.LATE)
+    """Rows that came too late, whole: ``late`` is the JSON of all their columns."""
+    return stored.filter(F.col(P.LATE).isNotNull()).select(P.LATE, P.LATE_ROW)
 
 
 def start(stream: DataFrame, out: str, **trigger) -> StreamingQuery:
@@ -82,6 +136,13 @@ def start(stream: DataFrame, out: str, **trigger) -> StreamingQuery:
     )
 
 
+def run_to_end(stream: DataFrame, out: str, ends: str) -> None:
+    """Work through a complete log: all that is there, then what the end mark releases."""
+    start(stream, out).awaitTermination()
+    mark_end(stream.sparkSession, ends)
+    start(stream, out).awaitTermination()
+
+
 def start_throughput(stream: DataFrame, out: str, **trigger) -> StreamingQuery:
     """Store running counts as they change; :func:`read_throughput` takes the final ones."""
 
@@ -104,13 +165,20 @@ def read_throughput(spark: SparkSession, out: str) -> DataFrame:
 
 
 def start_fan_out(
-    events: DataFrame, buses: DataFrame, blacklist: DataFrame, link_km: DataFrame, out: str, **trigger
+    events: DataFrame,
+    buses: DataFrame,
+    blacklist: DataFrame,
+    link_km: DataFrame,
+    out: str,
+    ends: DataFrame | None = None,
+    lateness: str = LATENESS,
+    **trigger,
 ) -> dict[str, StreamingQuery]:
     """One event stream to the four record tables, each with its own query and checkpoint."""
     streams = {
-        "bus_pax_records": stream_bus_boardings(events, buses),
-        "bus_delay_records": stream_bus_stop_delays(events, buses),
-        "bus_trip_records": stream_bus_link_traversals(events, buses, link_km),
-        "trip_records": stream_person_trips(events, blacklist),
+        "bus_pax_records": stream_bus_boardings(events, buses, ends, lateness),
+        "bus_delay_records": stream_bus_stop_delays(events, buses, ends, lateness),
+        "bus_trip_records": stream_bus_link_traversals(events, buses, link_km, ends, lateness),
+        "trip_records": stream_person_trips(events, blacklist, ends, lateness),
     }
     return {name: start(stream, f"{out}/{name}", **trigger) for name, stream in streams.items()}

@@ -1,12 +1,14 @@
 """Keyed state for the streamed event-log operators.
 
-A micro-batch of one key is treated as one more chunk of that key's log: what
-earlier batches left is put in front as a *carry* row, a blank row behind takes
-the state after the batch, and array operations fill in the state before each
-row. The batch operators say the same with window functions.
-
-Rows that arrive behind the last ``seq`` already worked on are too late to
-change the state. They are not dropped but come out with ``late_seq`` set.
+Rows of a key wait in its state until the watermark has passed them, so files of a
+log may arrive in any order within the lateness. Then they are worked through by
+``seq``, in blocks of bounded size: what earlier rows left is put in front of a block
+as a *carry* row, a blank row behind takes the state after the block, and array
+operations fill in the state before each row. The batch operators say the same with
+window functions.
+
+Rows that arrive behind the last ``seq`` already worked on are too late to change the
+state. They are not dropped: they come out whole, as JSON in ``late``, with ``late_seq``.
 """
 
 from __future__ import annotations
@@ -15,11 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from headway import schemas as S
 
-LATE = "late_seq"
+LATE, LATE_ROW = "late_seq", "late"
+#: Rows of a key that are worked through at once.
+BLOCK = 100_000
+#: Milliseconds of log time after which a closed key is forgotten.
+IDLE_MS = 24 * 3600 * 1000
 
 
 def latest_before(mask: np.ndarray) -> np.ndarray:
@@ -28,35 +35,97 @@ def latest_before(mask: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], at[:-1]))
 
 
+def to_bytes(rows: pd.DataFrame) -> bytes:
+    table, sink = pa.Table.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def from_bytes(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
 class KeyedLog(StatefulProcessor):
-    """Orders a key's rows, keeps its carry, and sets late rows apart."""
+    """Holds a key's rows back, orders them, keeps its carry, and sets late rows apart."""
 
     carry_schema: str
     output: list[str]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("carry", f"last_seq long, {self.carry_schema}")
+        self._handle = handle
+        self._carry = handle.getValueState("carry", f"last_seq long, last_due long, {self.carry_schema}")
+        self._held = handle.getListState("held", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        log = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-        last_seq, *carry = self._state.get() if self._state.exists() else (-1, *self.blank())
-        late = log["seq"] <= last_seq
-        fresh = log[~late].reset_index(drop=True)
-        if len(fresh):
-            out, carry = self.advance(key[-1], fresh, carry)
-            self._state.update((int(fresh["seq"].iloc[-1]), *carry))
-            yield self._shaped(out)
-        if late.any():
-            yield self._shaped(pd.DataFrame({LATE: log.loc[late, "seq"]}))
+        if pd.isna(key[-1]):  # the mark at the end of a log: it only moves the watermark
+            return
+        last_seq = self._carry.get()[0] if self._carry.exists() else -1
+        soonest, wake = timerValues.getCurrentWatermarkInMs() + 1, []
+        for part in rows:
+            yield from self._set_apart(part[part["seq"] <= last_seq])
+            part = part[part["seq"] > last_seq]
+            if len(part):
+                # A time that is not a number waits as long as rows that arrive with it at least.
+                ms = np.floor(part["time"].to_numpy(dtype=float, na_value=np.nan) * 1000)
+                due = np.maximum(np.nan_to_num(ms, nan=soonest, posinf=soonest, neginf=soonest), soonest)
+                part = part.assign(due=due.astype(np.int64))
+                self._held.appendValue((to_bytes(part),))
+                wake.append(int(part["due"].min()))
+        if wake:
+            self._handle.registerTimer(min(wake))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = [from_bytes(data) for (data,) in self._held.get()] if self._held.exists() else []
+        if not held:
+            if self._carry.exists():
+                _, last_due, *carry = self._carry.get()
+                if self.closed(carry) and last_due + IDLE_MS <= now:
+                    self._carry.clear()
+            return
+        log = pd.concat(held, ignore_index=True)
+        ripe, rest = log[log["due"] <= now], log[log["due"] > now]
+        if ripe.empty:
+            self._handle.registerTimer(int(rest["due"].min()))
+            return
+        self._held.clear()
+        if len(rest):
+            self._held.appendValue((to_bytes(rest),))
+            self._handle.registerTimer(int(rest["due"].min()))
+        last_seq, _, *carry = self._carry.get() if self._carry.exists() else (-1, 0, *self.blank())
+        yield from self._set_apart(ripe[ripe["seq"] <= last_seq].drop(columns="due"))
+        fresh = ripe[ripe["seq"] > last_seq].sort_values("seq", ignore_index=True)
+        if fresh.empty:
+            return
+        for at in range(0, len(fresh), BLOCK):
+            out, carry = self.advance(key[-1], fresh[at : at + BLOCK].reset_index(drop=True), carry)
+            if len(out):
+                yield self._shaped(out)
+        last_due = int(fresh["due"].max())
+        self._carry.update((int(fresh["seq"].iloc[-1]), last_due, *carry))
+        if self.closed(carry):
+            self._handle.registerTimer(last_due + IDLE_MS)
+
+    def _set_apart(self, late: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        if len(late):
+            whole = late.to_json(orient="records", lines=True).splitlines()
+            yield self._shaped(pd.DataFrame({LATE: late["seq"].to_numpy(), LATE_ROW: whole}))
 
     def _shaped(self, out: pd.DataFrame) -> pd.DataFrame:
         # Plain objects: the output schema alone decides the types.
-        return out.reindex(columns=[*self.output, LATE]).astype(object)
+        return out.reindex(columns=[*self.output, S.EMITTED_AT, LATE, LATE_ROW]).astype(object)
 
     def blank(self) -> tuple:
+        """The carry of a key without rows."""
+        raise NotImplementedError
+
+    def closed(self, carry) -> bool:
+        """Does this carry say no more than :meth:`blank`?"""
         raise NotImplementedError
 
     def advance(self, key, log: pd.DataFrame, carry) -> tuple[pd.DataFrame, tuple]:
+        """Records of the next rows of a key, and the carry behind them."""
         raise NotImplementedError
 
     def close(self) -> None:
@@ -84,14 +153,18 @@ class Boardings(KeyedLog):
     def blank(self):
         return (None,)
 
+    def closed(self, carry):
+        return carry[0] is None
+
     def advance(self, bus, log, carry):
-        kind, person, driver = framed(log, "type", "person", "starting")
+        kind, person, driver, time = framed(log, "type", "person", "starting", "time")
         sets = ((kind == S.DRIVER_STARTS) & some(driver)) | (kind == S.LEAVES_TRAFFIC)
         driver = np.where(kind == S.DRIVER_STARTS, driver, None)
         driver[0] = carry[0]
         in_charge = driver[latest_before(sets)]
         hit = (kind == S.PERSON_ENTERS) & some(person) & some(in_charge) & (person != in_charge)
-        return pd.DataFrame({"person_id": person[hit], "bus_id": bus}), (in_charge[-1],)
+        out = pd.DataFrame({"person_id": person[hit], "bus_id": bus, S.EMITTED_AT: time[hit]})
+        return out, (in_charge[-1],)
 
 
 class StopDelays(KeyedLog):
@@ -101,8 +174,11 @@ class StopDelays(KeyedLog):
     def blank(self):
         return (False, None, None)
 
+    def closed(self, carry):
+        return not carry[0]
+
     def advance(self, bus, log, carry):
-        kind, facility, delay = framed(log, "type", "facility", "delay")
+        kind, facility, delay, time = framed(log, "type", "facility", "delay", "time")
         arrived = kind == S.ARRIVES
         arrived[0], facility[0], delay[0] = carry
         pairs = np.flatnonzero((kind == S.DEPARTS) & np.concatenate(([False], arrived[:-1])))
@@ -111,6 +187,7 @@ class StopDelays(KeyedLog):
                 "stop_id": facility[pairs - 1],
                 "arrival_delay": delay[pairs - 1].astype(float),
                 "depart_delay": delay[pairs].astype(float),
+                S.EMITTED_AT: time[pairs],
             }
         )
         end = len(log)
@@ -127,6 +204,9 @@ class LinkTraversals(KeyedLog):
     def blank(self):
         return (False, None, None, None, None, 0, 0)
 
+    def closed(self, carry):
+        return not carry[0] and carry[4] is None
+
     def advance(self, bus, log, carry):
         kind, link, km, time, person, starting = framed(log, "type", "link", "km", "time", "person", "starting")
         since, driver = time.copy(), np.where(kind == S.DRIVER_STARTS, starting, None)
@@ -157,6 +237,7 @@ class LinkTraversals(KeyedLog):
                 "link_length": km[entry[leaves]].astype(float),
                 "travel_time": time[leaves].astype(float) - since[entry[leaves]].astype(float),
                 "have_passenger": (at_link > at_start)[leaves],
+                S.EMITTED_AT: time[leaves],
             }
         )
         e = entry[-1]
@@ -178,53 +259,26 @@ class PersonTrips(KeyedLog):
     def blank(self):
         return (None, None, [], False)
 
+    def closed(self, carry):
+        return carry[0] is None
+
     def advance(self, person, log, carry):
+        # A person has few rows at a time: a plain loop beats arrays here.
         start, mode, vehicles, kept = carry
-        opens, boards = log["type"] == S.DEPARTURE, log["type"] == S.PERSON_ENTERS
-        log = log.assign(
-            opens=opens, boards=boards, closes=~opens & ~boards, allowed=boards & log["banned"].isna()
-        )
-        if start is not None:
-            # The open trip of earlier batches: its departure, its vehicles so far.
-            log = pd.concat(
-                [
-                    pd.DataFrame(
-                        {
-                            "time": start,
-                            "mode": [mode, *[None] * len(vehicles)],
-                            "vehicle": [None, *vehicles],
-                            "opens": [True, *[False] * len(vehicles)],
-                            "boards": [False, *[True] * len(vehicles)],
-                            "closes": False,
-                            "allowed": [False, *[bool(kept)] * len(vehicles)],
-                        }
-                    ),
-                    log,
-                ],
-                ignore_index=True,
-            )
-        trip = log["closes"].cumsum() - log["closes"]
-        is_open = log["opens"].groupby(trip).cummax()
-        log = log.assign(trip=trip)[is_open]
-        trips = log.groupby("trip").agg(
-            start_time=("time", "first"), end=("time", "last"), mode=("mode", "first"),
-            done=("closes", "any"), kept=("allowed", "any"),
-        )
-        used = log[log["boards"]].groupby("trip")["vehicle"].agg(list)
-        trips["veh_list"] = used.reindex(trips.index)
-        out = trips[trips["done"] & trips["kept"]]
-        out = pd.DataFrame(
-            {
-                "person_id": person,
-                "start_time": out["start_time"],
-                "travel_time": out["end"] - out["start_time"],
-                "main_mode": out["mode"],
-                "veh_list": out["veh_list"],
-            }
-        )
-        tail = trips[~trips["done"]]
-        if tail.empty:
-            return out, self.blank()
-        t = tail.iloc[-1]
-        carried = t["veh_list"] if isinstance(t["veh_list"], list) else []
-        return out, (float(t["start_time"]), t["mode"], carried, bool(t["kept"]))
+        vehicles, trips = list(vehicles), []
+        columns = (log[name].astype(object) for name in ("time", "type", "mode", "vehicle", "banned"))
+        for time, kind, new_mode, vehicle, banned in zip(*columns, strict=True):
+            if kind == S.DEPARTURE:
+                if start is None:
+                    start, mode = time, new_mode
+            elif start is None:
+                continue
+            elif kind == S.PERSON_ENTERS:
+                vehicles.append(vehicle)
+                kept = kept or pd.isna(banned)
+            else:
+                if kept:
+                    trips.append((person, start, time - start, mode, vehicles, time))
+                start, mode, vehicles, kept = self.blank()
+        out = pd.DataFrame(trips, columns=[*self.output, S.EMITTED_AT])
+        return out, (None if start is None else float(start), mode, vehicles, bool(kept))

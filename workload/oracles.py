@@ -367,6 +367,8 @@ BODIES = {
     "analysis": _score(LOG_FACTS),
     "analysis_csv": _score(LOG_FACTS),
     "stream_bus_boardings": BOARDING_ROWS,
+    "stream_out_of_order": BOARDING_ROWS,
+    "stream_record_throughput": "SELECT * FROM rcounts",
     "stream_bus_stop_delays": "SELECT * FROM delays",
     "stream_bus_link_traversals": TRAVERSAL_ROWS,
     "stream_person_trips": PTRIP_ROWS,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -550,27 +552,44 @@ def analysis_csv(spark, sf):
 # --- streams -----------------------------------------------------------------------------
 
 
-def _run(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    out = scratch(spark, "stream")
-    st.start(stream, out).awaitTermination()
-    return st.records(spark.read.schema(stream.schema).parquet(out))
+def _stored(spark: SparkSession, job, lateness: str = st.LATENESS) -> DataFrame:
+    """Run ``job(ends, lateness)`` to the end of the log."""
+    out, ends = scratch(spark, "stream"), scratch(spark, "ends")
+    stream = job(st.end_marks(spark, ends), lateness)
+    st.run_to_end(stream, out, ends)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 def stream_bus_boardings(spark, sf):
-    return _run(spark, st.stream_bus_boardings(T.event_stream(spark, sf), _buses(spark, sf)))
+    log, buses = T.event_stream(spark, sf), _buses(spark, sf)
+    return st.records(_stored(spark, lambda *w: st.stream_bus_boardings(log, buses, *w)))
+
+
+def stream_out_of_order(spark, sf):
+    """The log in files whose order of arrival has nothing to do with time."""
+    path = scratch(spark, "log")
+    log = T.event_log(spark, sf)
+    part = F.pmod(F.floor(F.col("seq") / 500) * 7, F.lit(4))
+    for i in (2, 0, 3, 1):
+        log.filter(part == i).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    buses = _buses(spark, sf)
+    return st.records(_stored(spark, lambda *w: st.stream_bus_boardings(stream, buses, *w), "60 days"))
 
 
 def stream_bus_stop_delays(spark, sf):
-    return _run(spark, st.stream_bus_stop_delays(T.event_stream(spark, sf), _buses(spark, sf)))
+    log, buses = T.event_stream(spark, sf), _buses(spark, sf)
+    return st.records(_stored(spark, lambda *w: st.stream_bus_stop_delays(log, buses, *w)))
 
 
 def stream_bus_link_traversals(spark, sf):
-    stream = st.stream_bus_link_traversals(T.event_stream(spark, sf), _buses(spark, sf), _km(spark, sf))
-    return _traversal_rows(_run(spark, stream))
+    log, buses, km = T.event_stream(spark, sf), _buses(spark, sf), _km(spark, sf)
+    return _traversal_rows(st.records(_stored(spark, lambda *w: st.stream_bus_link_traversals(log, buses, km, *w))))
 
 
 def stream_person_trips(spark, sf):
-    return _trip_rows(_run(spark, st.stream_person_trips(T.event_stream(spark, sf), _blacklist(spark, sf))))
+    log, banned = T.event_stream(spark, sf), _blacklist(spark, sf)
+    return _trip_rows(st.records(_stored(spark, lambda *w: st.stream_person_trips(log, banned, *w))))
 
 
 def stream_throughput(spark, sf):
@@ -581,20 +600,35 @@ def stream_throughput(spark, sf):
 
 def stream_iteration_filter(spark, sf):
     stream = T.event_stream(spark, sf).withColumn("iteration", (F.col("seq") % 3).cast("int"))
-    return _run(spark, st.stream_bus_boardings(st.stream_iteration_filter(stream, 2), _buses(spark, sf)))
+    log, buses = st.stream_iteration_filter(stream, 2), _buses(spark, sf)
+    return st.records(_stored(spark, lambda *w: st.stream_bus_boardings(log, buses, *w)))
+
+
+def _fan_out(spark, sf) -> dict[str, DataFrame]:
+    out, ends = scratch(spark, "fanout"), scratch(spark, "ends")
+    for last in (False, True):
+        if last:
+            st.mark_end(spark, ends)
+        queries = st.start_fan_out(
+            T.event_stream(spark, sf), _buses(spark, sf), _blacklist(spark, sf), _km(spark, sf), out,
+            st.end_marks(spark, ends),
+        )
+        for query in queries.values():
+            query.awaitTermination()
+    return {name: st.records(spark.read.parquet(f"{out}/{name}"), emitted=True) for name in queries}
 
 
 def stream_fanout(spark, sf):
-    out = scratch(spark, "fanout")
-    queries = st.start_fan_out(
-        T.event_stream(spark, sf), _buses(spark, sf), _blacklist(spark, sf), _km(spark, sf), out
-    )
-    rows = None
-    for name, query in queries.items():
-        query.awaitTermination()
-        n = st.records(spark.read.parquet(f"{out}/{name}")).agg(F.lit(name).alias("record_table"), F.count(F.lit(1)).alias("n"))
-        rows = n if rows is None else rows.unionByName(n)
-    return rows
+    counts = [
+        table.agg(F.lit(name).alias("record_table"), F.count(F.lit(1)).alias("n"))
+        for name, table in _fan_out(spark, sf).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def stream_record_throughput(spark, sf):
+    """Records of the streamed tables per second of the event that completes them."""
+    return _totals_named(tp.record_throughput(_fan_out(spark, sf)))
 
 
 QUERIES = {
@@ -681,4 +715,6 @@ QUERIES = {
     "stream_throughput": stream_throughput,
     "stream_iteration_filter": stream_iteration_filter,
     "stream_fanout": stream_fanout,
+    "stream_out_of_order": stream_out_of_order,
+    "stream_record_throughput": stream_record_throughput,
 }

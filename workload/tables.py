@@ -89,7 +89,7 @@ def event_log(spark, sf) -> DataFrame:
 
 def event_stream(spark, sf) -> DataFrame:
     table = raw(spark, sf, "events")
-    stream = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    stream = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf)
     return as_event_log(stream)
 
 
