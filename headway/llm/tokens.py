@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +104,18 @@ def tokenized(docs: DataFrame, keep: list[str], end: int, path: str | None = Non
 
     A null text counts as empty, so every row has at least the closing id.
     """
+    rows, encode = encoding(docs, keep, end, path)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[: len(keep)])
+    return rows.mapInArrow(encode, f"{kept}, ids binary, n_tokens bigint")
+
+
+def encoding(
+    docs: DataFrame, keep: list[str], end: int, path: str | None = None
+) -> tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]]:
+    """The rows and the function of :func:`tokenized`, for callers that go on in the same worker.
+
+    A second pass in Python has workers of its own, and each would learn all words anew.
+    """
     ready(docs.sparkSession)
     path = path or vocabulary_path()
     rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
@@ -120,5 +132,4 @@ def tokenized(docs: DataFrame, keep: list[str], end: int, path: str | None = Non
                 columns.append(pa.array([len(x) // 2 for x in ids], pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, [*keep, "ids", "n_tokens"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[: len(keep)])
-    return rows.mapInArrow(encode, f"{kept}, ids binary, n_tokens bigint")
+    return rows, encode

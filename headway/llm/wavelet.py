@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import bases, partition_id, ranged, ready, stage
-from headway.llm.tokens import tokenized
+from headway.llm.tokens import encoding
 
 MAGIC = b"WVMX"
 HEAD = struct.Struct("<4sIIIIQ")
@@ -174,7 +174,7 @@ def write(
     ordered = ranged(
         docs.select("doc_id", "text", F.xxhash64("text").alias("tie")), "doc_id", "tie"
     )
-    rows = tokenized(ordered, ["doc_id"], end, path)
+    rows, encode = encoding(ordered, ["doc_id"], end, path)
 
     def files(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, file, before, held, ids, size = partition_id(), 0, 0, [], [], 0
@@ -204,7 +204,7 @@ def write(
                 ("data", pa.binary()),
             ]
         )
-        for frame in frames:
+        for frame in encode(frames):
             for doc, tokens in zip(
                 frame.column(0).to_pylist(), frame.column(1).to_pylist(), strict=True
             ):
