@@ -552,7 +552,7 @@ def analysis_csv(spark, sf):
 # --- streams -----------------------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, job, lateness: str = st.LATENESS) -> DataFrame:
+def _streamed(spark: SparkSession, job, lateness: str = st.LATENESS) -> DataFrame:
     """Run ``job(ends, lateness)`` to the end of the log."""
     out, ends = scratch(spark, "stream"), scratch(spark, "ends")
     stream = job(st.end_marks(spark, ends), lateness)
@@ -562,7 +562,7 @@ def _stored(spark: SparkSession, job, lateness: str = st.LATENESS) -> DataFrame:
 
 def stream_bus_boardings(spark, sf):
     log, buses = T.event_stream(spark, sf), _buses(spark, sf)
-    return st.records(_stored(spark, lambda *w: st.stream_bus_boardings(log, buses, *w)))
+    return st.records(_streamed(spark, lambda *w: st.stream_bus_boardings(log, buses, *w)))
 
 
 def stream_out_of_order(spark, sf):
@@ -574,22 +574,22 @@ def stream_out_of_order(spark, sf):
         log.filter(part == i).write.mode("append").parquet(path)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(path)
     buses = _buses(spark, sf)
-    return st.records(_stored(spark, lambda *w: st.stream_bus_boardings(stream, buses, *w), "60 days"))
+    return st.records(_streamed(spark, lambda *w: st.stream_bus_boardings(stream, buses, *w), "60 days"))
 
 
 def stream_bus_stop_delays(spark, sf):
     log, buses = T.event_stream(spark, sf), _buses(spark, sf)
-    return st.records(_stored(spark, lambda *w: st.stream_bus_stop_delays(log, buses, *w)))
+    return st.records(_streamed(spark, lambda *w: st.stream_bus_stop_delays(log, buses, *w)))
 
 
 def stream_bus_link_traversals(spark, sf):
     log, buses, km = T.event_stream(spark, sf), _buses(spark, sf), _km(spark, sf)
-    return _traversal_rows(st.records(_stored(spark, lambda *w: st.stream_bus_link_traversals(log, buses, km, *w))))
+    return _traversal_rows(st.records(_streamed(spark, lambda *w: st.stream_bus_link_traversals(log, buses, km, *w))))
 
 
 def stream_person_trips(spark, sf):
     log, banned = T.event_stream(spark, sf), _blacklist(spark, sf)
-    return _trip_rows(st.records(_stored(spark, lambda *w: st.stream_person_trips(log, banned, *w))))
+    return _trip_rows(st.records(_streamed(spark, lambda *w: st.stream_person_trips(log, banned, *w))))
 
 
 def stream_throughput(spark, sf):
@@ -601,7 +601,7 @@ def stream_throughput(spark, sf):
 def stream_iteration_filter(spark, sf):
     stream = T.event_stream(spark, sf).withColumn("iteration", (F.col("seq") % 3).cast("int"))
     log, buses = st.stream_iteration_filter(stream, 2), _buses(spark, sf)
-    return st.records(_stored(spark, lambda *w: st.stream_bus_boardings(log, buses, *w)))
+    return st.records(_streamed(spark, lambda *w: st.stream_bus_boardings(log, buses, *w)))
 
 
 def _fan_out(spark, sf) -> dict[str, DataFrame]:
