@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import chat, decontaminate, kneser, packing, pages, repeats, shards, simhash, topk, wavelet
+from headway.llm import (
+    audit,
+    chat,
+    decontaminate,
+    kneser,
+    minhash,
+    packing,
+    pages,
+    repeats,
+    shards,
+    simhash,
+    topk,
+    wavelet,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -53,6 +67,18 @@ def op10_kneser_quality(spark: SparkSession, sf: str) -> DataFrame:
     return kneser.digest(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op11_blockmatrix_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.digest(_table(spark, sf, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.digest(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op13_minhash_bayesian(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.digest(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,10 +92,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_wavelet_tokens,
         op9_repeated_passages,
         op10_kneser_quality,
+        op11_blockmatrix_whitening,
+        op12_filter_audit,
+        op13_minhash_bayesian,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat_prefix_targets": chat.ORACLE_SQL,
     "op7_impact_topk": topk.ORACLE_SQL,
+    "op12_filter_audit": audit.ORACLE_SQL,
 }

@@ -70,7 +70,7 @@ def first(key):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "embeddings"):
+    for t in ("conversations", "embeddings", "documents", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     mine = QUERIES[name](spark, SF)
     names = sorted(mine.columns)
