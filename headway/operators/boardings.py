@@ -22,15 +22,19 @@ def boarding_log(events: DataFrame, buses: DataFrame, *extra: str) -> DataFrame:
 
 
 def bus_boardings(
-    events: DataFrame, buses: DataFrame, heavy: DataFrame | None = None, emitted: bool = False
+    events: DataFrame,
+    buses: DataFrame,
+    heavy: DataFrame | None = None,
+    emitted: bool = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """One row per person who boards a bus under a registered driver, the driver excepted.
 
     The driver is the latest one to start on the bus since it last left traffic.
-    ``emitted`` adds the time of boarding.
+    ``emitted`` adds the time of boarding; ``ranged`` orders by range partitions.
     """
     log = boarding_log(events, buses, *(["time"] if emitted else []))
-    return by_key(log, "bus", partial(_boardings, emitted), vehicle_events(events, *_TYPES), heavy)
+    return by_key(log, "bus", partial(_boardings, emitted), vehicle_events(events, *_TYPES), heavy, ranged)
 
 
 def _boardings(emitted: bool, log: Ordered) -> DataFrame:

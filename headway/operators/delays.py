@@ -22,16 +22,21 @@ def delay_log(events: DataFrame, buses: DataFrame, *extra: str) -> DataFrame:
 
 
 def bus_stop_delays(
-    events: DataFrame, buses: DataFrame, heavy: DataFrame | None = None, emitted: bool = False
+    events: DataFrame,
+    buses: DataFrame,
+    heavy: DataFrame | None = None,
+    emitted: bool = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """Pair each departure from a stop with the bus's arrival just before it.
 
     Arrivals that name no facility are not seen at all. A departure right after
     another departure has no arrival to pair with.
-    ``emitted`` adds the time of departure.
+    ``emitted`` adds the time of departure; ``ranged`` orders by range partitions.
     """
     log = delay_log(events, buses, *(["time"] if emitted else []))
-    return by_key(log, "bus", partial(_pairs, emitted), vehicle_events(events, S.ARRIVES, S.DEPARTS), heavy)
+    sized_by = vehicle_events(events, S.ARRIVES, S.DEPARTS)
+    return by_key(log, "bus", partial(_pairs, emitted), sized_by, heavy, ranged)
 
 
 def _pairs(emitted: bool, log: Ordered) -> DataFrame:

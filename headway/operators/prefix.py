@@ -9,10 +9,17 @@ consecutive ``seq`` values. Each chunk is worked on by its own task, a one-row
 summary per chunk is carried forward over the (few) chunks of the key, and the
 carried value completes the rows of the next chunks. Results are the same; no
 task sees more than one chunk of rows.
+
+:func:`by_range` needs no count of keys beforehand: rows are range-partitioned by
+(key, seq) with sampled, row-balanced cuts, and each partition is a chunk. Only a
+key that spans two or more partitions needs a carry; such a key is the last key of
+one partition and the first of the next, so there are fewer of them than
+partitions, and their summaries (one row per key and partition) are broadcast.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -33,6 +40,8 @@ class Ordered:
     df: DataFrame
     key: str
     chunked: bool = False
+    #: Keys whose rows lie in more than one chunk (range-partitioned rows only); None: all.
+    spans: DataFrame | None = None
 
     def with_columns(self, columns: Mapping[str, Column]) -> "Ordered":
         return replace(self, df=self.df.withColumns(dict(columns)))
@@ -73,13 +82,14 @@ class Ordered:
                     for n, (t, _) in at_mark.items()
                 }
             )
-        if self.chunked:
+        if self.chunked and not (self.spans is not None and self.spans.isEmpty()):
             df = self._carry(df, list(last), list(total), {n: t for n, (t, _) in at_mark.items()}, list(overall))
         return replace(self, df=df.drop(*inputs))
 
     def _carry(self, df, last, total, at_mark, overall):
         """Complete chunk-local values with what the key's earlier chunks left."""
-        summary = df.groupBy(self.key, CHUNK).agg(
+        spanning = df if self.spans is None else df.join(F.broadcast(self.spans), self.key, "left_semi")
+        summary = spanning.groupBy(self.key, CHUNK).agg(
             *[
                 F.max_by(f"_last_{n}", F.when(F.col(f"_last_{n}").isNotNull(), F.col("seq"))).alias(n)
                 for n in last
@@ -107,26 +117,60 @@ class Ordered:
         # Written out once: later rounds and the final pass then read these few
         # rows instead of repeating the rounds before them.
         carry = stage(carry.select(self.key, CHUNK, *[f"_in_{n}" for n in names]), "carry")
-        df = df.join(carry, [self.key, CHUNK])
+        if self.spans is None:
+            df = df.join(carry, [self.key, CHUNK])
+        else:
+            # At most two rows a partition: keys of one chunk find no carry and keep their values.
+            df = df.join(F.broadcast(carry), [self.key, CHUNK], "left")
         done = {n: F.coalesce(F.col(n), F.col(f"_in_{n}")) for n in last}
-        done |= {n: F.coalesce(F.col(n) + F.col(f"_in_{t}"), F.col(f"_in_{n}")) for n, t in at_mark.items()}
-        done |= {n: F.col(n) + F.col(f"_in_{n}") for n in total}
-        done |= {n: F.col(f"_in_{n}") for n in overall}
+        done |= {
+            n: F.coalesce(F.col(n) + F.coalesce(F.col(f"_in_{t}"), F.lit(0)), F.col(f"_in_{n}"))
+            for n, t in at_mark.items()
+        }
+        done |= {n: F.col(n) + F.coalesce(F.col(f"_in_{n}"), F.lit(0)) for n in total}
+        done |= {n: F.coalesce(F.col(f"_in_{n}"), F.col(n)) for n in overall}
         return df.withColumns(done).drop(*[f"_in_{n}" for n in names])
 
 
+def by_range(events: DataFrame, key: str, recipe: Callable[[Ordered], DataFrame]) -> DataFrame:
+    """Run ``recipe`` on rows range-partitioned by (key, seq): any key size, no pre-pass.
+
+    The partitions (``spark.sql.shuffle.partitions`` of them) are cut at sampled
+    quantiles of (key, seq), so they hold about equal numbers of rows whatever the
+    keys or the gaps between ``seq`` values are. Each partition is a chunk; the rows
+    and their chunk are written once, so every later pass sees the same chunks.
+    Each chunk's first and last key (one row a chunk) reach the driver.
+    """
+    spark = events.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        events.filter(F.col(key).isNotNull())
+        .repartitionByRange(parts, key, "seq")
+        .withColumn(CHUNK, F.spark_partition_id())
+    )
+    ranged = stage(ranged, "ranged")
+    ends = ranged.groupBy(CHUNK).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
+    seen = Counter(k for r in ends for k in {r["lo"], r["hi"]})
+    spans = spark.createDataFrame([(k,) for k, c in seen.items() if c > 1], ranged.select(key).schema)
+    return recipe(Ordered(ranged, key, chunked=True, spans=spans))
+
+
 def by_key(
     events: DataFrame,
     key: str,
     recipe: Callable[[Ordered], DataFrame],
     sized_by: DataFrame,
     heavy: DataFrame | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
     """Run ``recipe`` on all keys: ordinary ones in one task each, heavy ones in chunks.
 
     Heavy keys are looked for in ``sized_by`` (the events before any join), unless
-    they are given; an empty frame says that there are none.
+    they are given; an empty frame says that there are none. ``ranged`` takes
+    :func:`by_range` instead, which needs neither.
     """
+    if ranged:
+        return by_range(events, key, recipe)
     events = events.filter(F.col(key).isNotNull())
     if heavy is None:
         heavy = heavy_keys(sized_by, [key])

@@ -55,14 +55,19 @@ def bus_log(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFram
 
 
 def bus_link_traversals(
-    events: DataFrame, buses: DataFrame, link_km: DataFrame, heavy: DataFrame | None = None, emitted: bool = False
+    events: DataFrame,
+    buses: DataFrame,
+    link_km: DataFrame,
+    heavy: DataFrame | None = None,
+    emitted: bool = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """One row each time a bus in traffic leaves a link of known length.
 
     ``have_passenger`` tells whether anyone was on board when the link was entered.
-    ``emitted`` adds the time of leaving.
+    ``emitted`` adds the time of leaving; ``ranged`` orders by range partitions.
     """
-    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log), emitted), heavy)
+    return _by_bus(events, buses, link_km, lambda log: _traversals(bus_state(log), emitted), heavy, ranged)
 
 
 def occupancy_violations(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:
@@ -84,8 +89,8 @@ def bus_active_state(events: DataFrame, buses: DataFrame) -> DataFrame:
     return by_key(log, "bus", recipe, vehicle_events(events, *kinds))
 
 
-def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe, heavy=None) -> DataFrame:
-    return by_key(bus_log(events, buses, link_km), "bus", recipe, vehicle_events(events, *_TYPES), heavy)
+def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe, heavy=None, ranged=False) -> DataFrame:
+    return by_key(bus_log(events, buses, link_km), "bus", recipe, vehicle_events(events, *_TYPES), heavy, ranged)
 
 
 def bus_occupancy(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFrame:

@@ -40,13 +40,16 @@ def trip_log(events: DataFrame, blacklist: DataFrame) -> DataFrame:
     return lookup(_trip_events(events), banned, ["vehicle"], "left", "seq")
 
 
-def person_trips(events: DataFrame, blacklist: DataFrame, emitted: bool = False) -> DataFrame:
+def person_trips(
+    events: DataFrame, blacklist: DataFrame, emitted: bool = False, ranged: bool = False
+) -> DataFrame:
     """Trips from a departure to the next real activity, with the vehicles boarded.
 
     Trips that used no vehicle, or only blacklisted ones, are left out.
-    ``emitted`` adds the time of arrival.
+    ``emitted`` adds the time of arrival; ``ranged`` orders by range partitions.
     """
-    return by_key(trip_log(events, blacklist), "person", partial(_trips, emitted), _trip_events(events))
+    recipe = partial(_trips, emitted)
+    return by_key(trip_log(events, blacklist), "person", recipe, _trip_events(events), ranged=ranged)
 
 
 def _trips(emitted: bool, log: Ordered) -> DataFrame:

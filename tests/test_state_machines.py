@@ -178,3 +178,53 @@ def test_random_logs(spark, skewed):
     assert rows(occupancy_violations(df, b, kms(spark, km)).drop("seq")) == sorted(bad, key=repr)
     assert rows(person_trips(df, ids(spark, ["v2", "v1"]))) == sorted(logs.trips(log, ["v2", "v1"]), key=repr)
     assert len(want) > 20 and bad and logs.trips(log, ["v2", "v1"])
+
+
+def _sparse(df):
+    """The same order with gaps past 2^40 between events, as byte offsets of large logs have."""
+    from pyspark.sql import functions as F
+
+    return df.withColumn("seq", F.col("seq") * (1 << 41) + F.pmod("seq", F.lit(7)))
+
+
+def test_random_logs_ranged(spark):
+    """Range-partitioned prefix scans: keys spread over many partitions, results unchanged."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        log = logs.random_log(11, 900, vehicles=2, persons=2)
+        df, buses, km = _sparse(frame(spark, log)), ["v0", "v1"], {"a": 0.5, "b": 1.5, "c": 2.5}
+        b = ids(spark, buses)
+        assert rows(bus_boardings(df, b, ranged=True)) == sorted(logs.boardings(log, buses), key=repr)
+        assert repr(rows(bus_stop_delays(df, b, ranged=True))) == repr(logs.delays(log, buses))
+        want, _ = logs.traversals(log, buses, km)
+        assert rows(bus_link_traversals(df, b, kms(spark, km), ranged=True)) == sorted(want, key=repr)
+        blacklist = ids(spark, ["v1"])
+        assert rows(person_trips(df, blacklist, ranged=True)) == sorted(logs.trips(log, ["v1"]), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ranged_chunks_are_balanced(spark):
+    """One key with most rows still fills every partition about equally; it spans them all."""
+    from pyspark.sql import functions as F
+
+    from headway.operators.prefix import CHUNK, by_range
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        df = spark.range(30_000).select(
+            (F.col("id") * 977).alias("seq"), F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("k")
+        )
+        seen = {}
+
+        def recipe(ordered):
+            seen["spans"] = sorted(r.k for r in ordered.spans.collect())
+            return ordered.df
+
+        sizes = [r["count"] for r in by_range(df, "k", recipe).groupBy(CHUNK).count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes) and sum(sizes) == 30_000
+        assert "hot" in seen["spans"] and len(seen["spans"]) < 6
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -323,6 +323,10 @@ BODIES = {
     "occupancy_violations": "SELECT seq, vehicle AS bus_id, pending_before AS on_board FROM w3e"
     " WHERE k = 14 AND active = 1 AND pending_before <> 0",
     "person_trips": PTRIP_ROWS,
+    "bus_boardings_chunked": BOARDING_ROWS,
+    "bus_stop_delays_chunked": "SELECT * FROM delays",
+    "bus_link_traversals_chunked": TRAVERSAL_ROWS,
+    "person_trips_chunked": PTRIP_ROWS,
     "transit_route_ratio": "SELECT round(transit_route_ratio, 9) AS transit_route_ratio FROM scn",
     "distinct_covered_links": "SELECT link_id FROM clinks",
     "distinct_bus_stops": "SELECT * FROM bstops",
