@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import batches
 from headway.operators.skew import lookup
 
 # Fixed values of the contract.
@@ -33,6 +34,9 @@ MIN_WORDS = 100
 SYMBOLS = b"#$%&*|"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 
+#: Text bytes scanned at once; memory of the pass is about 30 times this.
+SLICE_BYTES = 4 << 20
+
 # Byte classes of the transducer.
 SPACE, WORD, CAPITAL, SYMBOL, CONTINUATION = 0, 1, 2, 3, 4
 
@@ -144,8 +148,12 @@ def _distinct_words(data, doc_of, starts, ends, rows) -> np.ndarray:
     return distinct
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Slices of about SLICE_BYTES of text: the pass keeps a few 8-byte numbers a byte.
+    for table in batches(frames, SLICE_BYTES, "text"):
+        batch = table.combine_chunks().to_batches()[0] if table.num_rows else None
+        if batch is None:
+            continue
         c = scan(batch.column("text"))
         keep = [n for n in batch.schema.names if n != "text"]
         names = ["words", "distinct", "capitals", "code_points", "symbols"]
