@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.functions.columns import emission
 from headway.operators.events import bus_events, vehicle_events
-from headway.operators.prefix import Ordered, by_key
+from headway.operators.prefix import Ordered, by_key, carried
 
 _TYPES = (S.DRIVER_STARTS, S.PERSON_ENTERS, S.LEAVES_TRAFFIC)
 
@@ -26,14 +26,14 @@ def bus_boardings(
     buses: DataFrame,
     heavy: DataFrame | None = None,
     emitted: bool = False,
-    ranged: bool = False,
+    ranged: bool | DataFrame = False,
 ) -> DataFrame:
     """One row per person who boards a bus under a registered driver, the driver excepted.
 
     The driver is the latest one to start on the bus since it last left traffic.
     ``emitted`` adds the time of boarding; ``ranged`` orders by range partitions.
     """
-    log = boarding_log(events, buses, *(["time"] if emitted else []))
+    log = boarding_log(events, buses, *(["time"] if emitted else []), *carried(events))
     return by_key(log, "bus", partial(_boardings, emitted), vehicle_events(events, *_TYPES), heavy, ranged)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.functions.columns import emission
 from headway.operators.events import bus_events, vehicle_events
-from headway.operators.prefix import Ordered, by_key
+from headway.operators.prefix import Ordered, by_key, carried
 
 
 def delay_log(events: DataFrame, buses: DataFrame, *extra: str) -> DataFrame:
@@ -26,7 +26,7 @@ def bus_stop_delays(
     buses: DataFrame,
     heavy: DataFrame | None = None,
     emitted: bool = False,
-    ranged: bool = False,
+    ranged: bool | DataFrame = False,
 ) -> DataFrame:
     """Pair each departure from a stop with the bus's arrival just before it.
 
@@ -34,7 +34,7 @@ def bus_stop_delays(
     another departure has no arrival to pair with.
     ``emitted`` adds the time of departure; ``ranged`` orders by range partitions.
     """
-    log = delay_log(events, buses, *(["time"] if emitted else []))
+    log = delay_log(events, buses, *(["time"] if emitted else []), *carried(events))
     sized_by = vehicle_events(events, S.ARRIVES, S.DEPARTS)
     return by_key(log, "bus", partial(_pairs, emitted), sized_by, heavy, ranged)
 

@@ -33,6 +33,11 @@ from headway.session import stage
 CHUNK = "_chunk"
 
 
+def carried(events: DataFrame) -> list[str]:
+    """The chunk column of events landed in chunks, to be kept by a selection."""
+    return [CHUNK] if CHUNK in events.columns else []
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Events grouped by ``key`` and ordered by ``seq``; ``chunked`` for heavy keys."""
@@ -161,14 +166,18 @@ def by_key(
     recipe: Callable[[Ordered], DataFrame],
     sized_by: DataFrame,
     heavy: DataFrame | None = None,
-    ranged: bool = False,
+    ranged: bool | DataFrame = False,
 ) -> DataFrame:
     """Run ``recipe`` on all keys: ordinary ones in one task each, heavy ones in chunks.
 
     Heavy keys are looked for in ``sized_by`` (the events before any join), unless
     they are given; an empty frame says that there are none. ``ranged`` takes
-    :func:`by_range` instead, which needs neither.
+    :func:`by_range` instead, which needs neither. A frame in ``ranged`` says that
+    ``events`` were landed in chunks already (column ``_chunk``) and lists the keys
+    that span chunks.
     """
+    if isinstance(ranged, DataFrame):
+        return recipe(Ordered(events.filter(F.col(key).isNotNull()), key, chunked=True, spans=ranged))
     if ranged:
         return by_range(events, key, recipe)
     events = events.filter(F.col(key).isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.functions.columns import emission
 from headway.operators.events import bus_events, vehicle_events
-from headway.operators.prefix import Ordered, by_key
+from headway.operators.prefix import Ordered, by_key, carried
 from headway.operators.skew import lookup
 
 _TYPES = (
@@ -50,6 +50,7 @@ def bus_log(events: DataFrame, buses: DataFrame, link_km: DataFrame) -> DataFram
         "person",
         F.col("driverId").alias("starting"),
         F.when(_is(S.ENTERS_TRAFFIC, S.ENTERED_LINK), F.col("link")).alias("link"),
+        *carried(events),
     )
     return lookup(log, link_km.select(F.col("link_id").alias("link"), "km"), ["link"], "left", "seq")
 
@@ -60,7 +61,7 @@ def bus_link_traversals(
     link_km: DataFrame,
     heavy: DataFrame | None = None,
     emitted: bool = False,
-    ranged: bool = False,
+    ranged: bool | DataFrame = False,
 ) -> DataFrame:
     """One row each time a bus in traffic leaves a link of known length.
 
@@ -89,7 +90,7 @@ def bus_active_state(events: DataFrame, buses: DataFrame) -> DataFrame:
     return by_key(log, "bus", recipe, vehicle_events(events, *kinds))
 
 
-def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe, heavy=None, ranged=False) -> DataFrame:
+def _by_bus(events: DataFrame, buses: DataFrame, link_km: DataFrame, recipe, heavy=None, ranged: bool | DataFrame = False) -> DataFrame:
     return by_key(bus_log(events, buses, link_km), "bus", recipe, vehicle_events(events, *_TYPES), heavy, ranged)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.functions.columns import emission
 from headway.operators.events import non_driver_events
-from headway.operators.prefix import Ordered, by_key
+from headway.operators.prefix import Ordered, by_key, carried
 from headway.operators.skew import lookup
 
 
@@ -30,6 +30,7 @@ def _trip_events(events: DataFrame) -> DataFrame:
             "person",
             F.col("computationalRoutingMode").alias("mode"),
             F.when(kind == S.PERSON_ENTERS, F.col("vehicle")).alias("vehicle"),
+            *carried(events),
         )
     )
 
@@ -41,7 +42,7 @@ def trip_log(events: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 
 def person_trips(
-    events: DataFrame, blacklist: DataFrame, emitted: bool = False, ranged: bool = False
+    events: DataFrame, blacklist: DataFrame, emitted: bool = False, ranged: bool | DataFrame = False
 ) -> DataFrame:
     """Trips from a departure to the next real activity, with the vehicles boarded.
 

@@ -15,6 +15,7 @@ from headway.operators.traversals import bus_link_traversals
 from headway.operators.trips import person_trips
 from headway.plans.metrics import facts
 from headway.plans.score import scenario_facts, score
+from headway.plans.store import EventStore, land_events
 from headway.sources.records import read_table, write_table
 
 
@@ -43,8 +44,20 @@ class Scenario:
         )
 
 
-def extract_records(events: DataFrame, scenario: Scenario, params: Params) -> dict[str, DataFrame]:
-    """The four record tables of an event log."""
+def extract_records(
+    events: DataFrame, scenario: Scenario, params: Params, store: EventStore | None = None
+) -> dict[str, DataFrame]:
+    """The four record tables of an event log, or of the log landed in ``store``."""
+    if store is not None:
+        buses, km = scenario.buses(params), sc.link_km(scenario.links)
+        vehicles, by_bus = store.vehicles()
+        persons, by_person = store.persons()
+        return {
+            "bus_pax_records": bus_boardings(vehicles, buses, ranged=by_bus),
+            "bus_delay_records": bus_stop_delays(vehicles, buses, ranged=by_bus),
+            "bus_trip_records": bus_link_traversals(vehicles, buses, km, ranged=by_bus),
+            "trip_records": person_trips(persons, scenario.blacklist(params), ranged=by_person),
+        }
     events = valid_events(events)
     buses, km = scenario.buses(params), sc.link_km(scenario.links)
     heavy = heavy_vehicles(events)
@@ -72,15 +85,23 @@ def analyse(
     weights: Weights = Weights(),
     format: str = "columnar",
     record: bool = True,
+    landed: bool = True,
 ) -> DataFrame:
     """Write the four record tables below ``out`` and score what was written.
 
     ``record`` works out metrics of weight zero as well, for the score record.
+    ``landed``: the raw log is read once into an event store that all four
+    extractors share (:mod:`headway.plans.store`); the store is dropped afterwards.
     """
     spark = events.sparkSession
+    store = land_events(events) if landed else None
     written = {}
-    for name, table in extract_records(events, scenario, params).items():
-        base = f"{out.rstrip('/')}/{name}"
-        write_table(table, base, format, mode="overwrite")
-        written[name] = read_table(spark, name, base, format)
+    try:
+        for name, table in extract_records(events, scenario, params, store).items():
+            base = f"{out.rstrip('/')}/{name}"
+            write_table(table, base, format, mode="overwrite")
+            written[name] = read_table(spark, name, base, format)
+    finally:
+        if store is not None:
+            store.drop()
     return score_records(written, scenario, params, weights, record)

@@ -54,3 +54,25 @@ def test_xml_to_score(spark, scenario, tmp_path, format):
     assert row.ridership == pytest.approx(len(boarded) / 2)
     moved = logs.traversals(log, ["v0", "v1"], KM)[0]
     assert row.bus_effective_travel_distance == pytest.approx(sum(m[2] for m in moved if m[4]) / sum(m[2] for m in moved))
+
+
+def test_event_store_needs_no_exchange_by_vehicle(spark):
+    """Landed once, the events reach the windows of all bus operators without a shuffle by bus."""
+    from headway.plans.store import land_events
+    from workload import queries as Q
+    from workload import tables as T
+
+    sf = "/root/testdata/sf0.001"
+    events, scenario = T.event_log(spark, sf), Q._log_scenario(spark, sf)
+    store = land_events(events)
+    try:
+        got = extract_records(events, scenario, Q.PARAMS, store)
+        want = extract_records(events, scenario, Q.PARAMS)
+        for name in got:
+            assert sorted(map(repr, got[name].collect())) == sorted(map(repr, want[name].collect()))
+        for name in ("bus_pax_records", "bus_delay_records"):
+            plan = got[name]._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(bus" not in plan and "rangepartitioning" not in plan
+            assert store.table in plan
+    finally:
+        store.drop()
