@@ -2,8 +2,8 @@
 
 Per document, one finite-state pass over the UTF-8 bytes of its text counts words,
 capital letters A-Z, code points and symbol bytes, and puts each word span into a
-hash table whose equal-hash entries are verified byte by byte, so that distinct
-words are counted exactly. The pass runs over whole Arrow batches at once: the
+hash table whose equal-hash entries are compared byte by byte (Arrow's), so that
+distinct words are counted exactly. The pass runs over whole Arrow batches at once: the
 automaton's state after a byte is a function of that byte's class, so each step is a
 lookup in the transition table indexed by (class before, class now), evaluated for
 all bytes of the batch together.
@@ -61,20 +61,6 @@ STARTS[0, [WORD, CAPITAL, SYMBOL, CONTINUATION]] = True
 ENDS = np.zeros((2, 5), dtype=bool)
 ENDS[1, SPACE] = True
 
-_P = np.uint64(0x100000001B3)  # odd base of the polynomial span hash
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-
-
-def _powers(count: int, base: np.uint64) -> np.ndarray:
-    out = np.empty(count, dtype=np.uint64)
-    out[0] = 1
-    if count > 1:
-        out[1:] = base
-        with np.errstate(over="ignore"):
-            out = np.cumprod(out, dtype=np.uint64)
-    return out
-
-
 def scan(texts: pa.Array) -> dict[str, np.ndarray]:
     """Counts of one batch of texts (null is empty): words, distinct, capitals, code points, symbols."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -84,68 +70,53 @@ def scan(texts: pa.Array) -> dict[str, np.ndarray]:
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     size = len(data)
-    doc_of = np.repeat(np.arange(rows), np.diff(offsets))
 
     cls = CLASSES[data]
+    now = cls != SPACE  # IN_WORD of the class
     # The state before each byte: in a word after the byte before it, never across texts.
-    before = np.zeros(size, dtype=np.uint8)
+    before = np.zeros(size, dtype=bool)
     if size:
-        before[1:] = IN_WORD[cls[:-1]]
-        before[offsets[:-1][np.diff(offsets) > 0]] = 0
-    starts = np.flatnonzero(STARTS[before, cls])
-    # A word ends before a space, or at the end of its text.
-    ends_at = np.flatnonzero(ENDS[before, cls])
-    text_ends = offsets[1:][np.diff(offsets) > 0]
-    last_in_word = IN_WORD[cls[text_ends - 1]] if len(text_ends) else np.zeros(0, bool)
-    ends = np.sort(np.concatenate([ends_at, text_ends[last_in_word]]))
-
-    def per_doc(mask_positions: np.ndarray) -> np.ndarray:
-        return np.bincount(doc_of[mask_positions], minlength=rows).astype(np.int64)
-
-    counts = {
-        "words": np.bincount(doc_of[starts], minlength=rows).astype(np.int64),
-        "capitals": per_doc(np.flatnonzero(cls == CAPITAL)),
-        "code_points": per_doc(np.flatnonzero(cls != CONTINUATION)),
-        "symbols": per_doc(np.flatnonzero(cls == SYMBOL)),
+        before[1:] = now[:-1]
+        before[offsets[:-1][np.diff(offsets) > 0]] = False
+    starts = STARTS[before.view(np.uint8), cls]
+
+    def per_text(flags: np.ndarray) -> np.ndarray:
+        """Set flags a text; the flags counted are rare next to bytes (positions only)."""
+        at = np.flatnonzero(flags)
+        return np.bincount(np.searchsorted(offsets, at, side="right") - 1, minlength=rows).astype(np.int64)
+
+    return {
+        "words": per_text(starts),
+        "capitals": per_text(cls == CAPITAL),
+        "code_points": np.diff(offsets) - per_text(cls == CONTINUATION),
+        "symbols": per_text(cls == SYMBOL),
+        "distinct": _distinct_words(data, offsets, now, starts, rows),
     }
-    counts["distinct"] = _distinct_words(data, doc_of, starts, ends, rows)
-    return counts
 
 
-def _distinct_words(data, doc_of, starts, ends, rows) -> np.ndarray:
-    """Distinct words per text, through a hash table with verified entries."""
-    if len(starts) == 0:
+def _distinct_words(data, offsets, now, starts, rows) -> np.ndarray:
+    """Distinct words per text: word spans put into a hash table that verifies equal hashes.
+
+    The word bytes, without the white space between them, are one contiguous buffer,
+    so the spans are an Arrow binary array without copying each word; Arrow's hash
+    table (dictionary encoding) compares the bytes of entries whose hashes agree.
+    """
+    at = np.flatnonzero(starts)
+    if len(at) == 0:
         return np.zeros(rows, dtype=np.int64)
-    with np.errstate(over="ignore"):
-        powers = _powers(len(data) + 1, _P)
-        prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-        prefix[1:] = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64)
-        inverse = _powers(len(data) + 1, _P_INV)
-        h = (prefix[ends] - prefix[starts]) * inverse[starts]
-    lengths = (ends - starts).astype(np.int64)
-    docs = doc_of[starts]
-    order = np.lexsort((lengths, h, docs))
-    docs, h, lengths, starts = docs[order], h[order], lengths[order], starts[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (docs[1:] != docs[:-1]) | (h[1:] != h[:-1]) | (lengths[1:] != lengths[:-1])
-    slot = np.cumsum(new) - 1  # hash-table slot of each word
-    first = starts[new][slot]
-    # Verify every entry against the first word that took its slot, byte by byte.
-    total = int(lengths.sum())
-    within = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    same = data[np.repeat(starts, lengths) + within] == data[np.repeat(first, lengths) + within]
-    bad = np.zeros(len(h), dtype=bool)
-    if not same.all():
-        mismatch = np.flatnonzero(~same)
-        owner = np.searchsorted(np.cumsum(lengths), mismatch, side="right")
-        bad[owner] = True
-    distinct = np.bincount(docs[new], minlength=rows).astype(np.int64)
-    if bad.any():  # a true collision: count that slot's words exactly
-        for s in np.unique(slot[bad]):
-            members = np.flatnonzero(slot == s)
-            words = {bytes(data[starts[i] : starts[i] + lengths[i]]) for i in members}
-            distinct[docs[members[0]]] += len(words) - 1
-    return distinct
+    packed = np.ascontiguousarray(data[now])
+    before_start = np.cumsum(now, dtype=np.int64)[at] - 1  # place of each word in ``packed``
+    bounds = np.append(before_start, len(packed)).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(packed)]
+    )
+    encoded = pc.dictionary_encode(words)
+    slot = encoded.indices.to_numpy().astype(np.int64)
+    text = np.searchsorted(offsets, at, side="right") - 1
+    key = np.sort(text * len(encoded.dictionary) + slot)
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = key[1:] != key[:-1]
+    return np.bincount(key[first] // len(encoded.dictionary), minlength=rows).astype(np.int64)
 
 
 def _counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
