@@ -32,6 +32,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique row number, written once; and the number's column name.
+
+    Numbers made by a scan depend on how the scan is split, which may change between
+    two scans of the same files. Both sides of a later join therefore read this one
+    written table. The name is ``_row``, with more leading underscores if ``docs``
+    has a column of that name already, which stays as it is.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name = "_" + name
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def row_number(row: str | None) -> Column:
+    """The column ``row`` of a :func:`numbered` table, or else a number of this scan."""
+    return F.col(row) if row else F.monotonically_increasing_id()
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import ready, stage, tasks
+from headway.llm.common import numbered, ready, row_number, stage, tasks
 from headway.llm.hashing import BASE, MASK, SEGMENT, TABLE, mixed, range_hashes
 
 LENGTH = 100
@@ -144,13 +144,14 @@ def _gone(x: dict[str, np.ndarray], which: np.ndarray, buckets: int) -> pa.Recor
     return _batch(1, _doc_bucket(columns["doc"], columns["text"], buckets), columns)
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    """doc_id (null as the smallest integer), text hash and bytes."""
+def _documents(docs: DataFrame, *extra: Column) -> DataFrame:
+    """doc_id (null as the smallest integer), text hash and bytes, then ``extra``."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"),
         F.shiftrightunsigned(F.xxhash64(text), 32).alias("hash"),
         text.cast("binary").alias("text"),
+        *extra,
     )
 
 
@@ -426,7 +427,7 @@ def _cut(documents: DataFrame, gone: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, ``kept`` (bytes) and row of every row.
 
     Removes each byte that a 100-byte string covers which also starts earlier: in a
@@ -444,9 +445,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     resolved = stage(_resolved(_asked(documents, buckets), buckets), "repeats")
     mixed = F.col("doc").bitwiseXOR(F.shiftright("doc", 17)).bitwiseXOR(F.col("hash"))
     bucket = F.pmod(mixed, F.lit(buckets)).cast("int").alias("bucket")
-    dealt = documents.select(
-        "*", F.monotonically_increasing_id().alias("row"), bucket
-    ).repartition(tasks(spark), "bucket")
+    dealt = _documents(docs, row_number(row).alias("row")).select("*", bucket).repartition(tasks(spark), "bucket")
     edges = _edges(_contents(dealt, resolved.filter("kind = 2"), buckets), buckets)
     gone = resolved.filter("kind = 1").unionByName(edges)
     return _cut(dealt, gone)
@@ -470,13 +469,18 @@ def cleaned(docs: DataFrame) -> DataFrame:
             texts = [str(memoryview(v.as_buffer()), "utf-8", "ignore") for v in frame.column(1)]
             yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(texts, pa.string())], ["_row", "_left"])
 
-    left = without_repeats(docs).select("row", "kept").mapInArrow(decoded, "_row bigint, _left string")
-    left = left.filter(F.trim(F.translate("_left", "\t\n\r\f\v", "     ")) != "")
+    docs, row = numbered(docs)
+    text = "_left"
+    while text in docs.columns:
+        text = "_" + text
+    left = without_repeats(docs, row).select("row", "kept").mapInArrow(decoded, "_row bigint, _left string")
+    left = left.select(F.col("_row").alias(row), F.col("_left").alias(text))
+    left = left.filter(F.trim(F.translate(text, "\t\n\r\f\v", "     ")) != "")
     columns = [
-        F.col("_left").alias(c) if c == "text"
-        else F.length("_left").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+        F.col(text).alias(c) if c == "text"
+        else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
         else F.col(c)
         for c in docs.columns
+        if c != row
     ]
-    rest = docs.drop("text").withColumn("_row", F.monotonically_increasing_id())
-    return rest.join(left, "_row").select(columns)
+    return docs.drop("text").join(left, row).select(columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import ready, stage, tasks
+from headway.llm.common import numbered, ready, row_number, stage, tasks
 from headway.llm.components import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
@@ -53,10 +53,10 @@ def fingerprint(text: str | None) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, ``row`` (unique) and ``fp`` of every row; a null text has no words."""
     ready(docs.sparkSession)
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    rows = docs.select("doc_id", row_number(row).alias("row"), "text")
 
     def each(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -203,7 +203,7 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return dealt.mapInArrow(found, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, row, fp, component_id and ``kept`` of every row.
 
     A component holds all rows whose fingerprints are linked, directly or over others;
@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     or white space only) have fingerprint 0 and are linked like any others. Null doc_ids
     come after all others. An empty table gives an empty result.
     """
-    rows = stage(fingerprints(docs), "simhash")
+    rows = stage(fingerprints(docs, row), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     each = stage(rows.groupBy("fp").agg(first.alias("first")), "simhash")
     rooted = components(links(each.select("fp"))).withColumnRenamed("node", "fp")
@@ -243,7 +243,8 @@ def digest(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, all columns as they are.
 
-    Rows are numbered by the scan, so ``docs`` must come from files.
+    Rows are numbered once and written with their number (:func:`numbered`).
     """
-    kept = stage(near_duplicates(docs).filter("kept").select(F.col("row").alias("_row")), "simhash")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
+    docs, row = numbered(docs)
+    kept = stage(near_duplicates(docs, row).filter("kept").select(F.col("row").alias(row)), "simhash")
+    return docs.join(kept, row, "left_semi").drop(row)

@@ -215,3 +215,29 @@ def test_bayesian_looks_keep_threshold_pairs():
     for looked, fewest in minhash.LOOKS:
         assert fewest <= 0.85 * looked - 3
     assert minhash.LOOKS[0][1] > 0  # the first look does prune dissimilar pairs
+
+
+# --- pipeline stages: rows numbered once -----------------------------------------------------
+
+
+@pytest.mark.parametrize("stage_name", ["quality", "near_duplicates", "repeated_passages", "decontaminated"])
+def test_stage_rows_do_not_depend_on_splits(spark, stage_name):
+    """A filtering stage keeps the same rows however its input is split, and keeps a ``_row`` column."""
+    import corpus_pipeline
+
+    step = dict(corpus_pipeline.STAGES)[stage_name]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(
+        {"_row": F.lit("mine"), "row": F.col("doc_id") * 2}
+    )
+    results = []
+    for parallelism, split in (("2", "128MB"), ("16", "64KB")):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", parallelism)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            got = step(spark, docs, SF)
+            results.append(sorted((r.doc_id, r._row, r.row, r.text) for r in got.collect()))
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert results[0] == results[1]
+    assert results[0] and all(r[1] == "mine" and r[2] == 2 * r[0] for r in results[0])
