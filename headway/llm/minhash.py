@@ -3,7 +3,8 @@
 1. Every document's set of distinct 3-word shingles (lower-cased A-Z), each shingle
    as its 64-bit hash, and its MinHash signature of ``HASHES`` values, all in SQL.
 2. Exact copies of a set are folded first: one representative per set (its
-   smallest doc_id); copies link to it after a check that the sets are equal.
+   smallest doc_id), told by two independent hashes of the whole set; copies link
+   to it. Sets and signatures are written once, bucketed by doc_id.
 3. Representatives are banded (``BANDS`` bands of ``ROWS`` values). In a bucket
    every member is paired with the bucket's smallest member (its star) only, so a
    bucket of m members gives m - 1 pairs, never m^2.
@@ -25,6 +26,7 @@ are joined through the library's skew-aware lookup.
 
 from __future__ import annotations
 
+import uuid
 from math import comb
 
 from pyspark.sql import Column, DataFrame
@@ -91,18 +93,21 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
 
 
 def signature(hashes: Column) -> Column:
-    """MinHash: for each of ``HASHES`` seeded hash functions, the least value over the set."""
+    """MinHash: for each of ``HASHES`` seeded 32-bit hash functions, the least value over the set."""
     return F.transform(
         F.sequence(F.lit(0), F.lit(HASHES - 1)),
-        lambda i: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, i))),
+        lambda i: F.array_min(F.transform(hashes, lambda h: F.hash(h, i))),
     )
 
 
-def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (x, y) that pass the sequential test and then the exact check on full sets."""
-    left = reps.select(F.col("doc_id").alias("x"), F.col("sig").alias("sx"), F.col("hashes").alias("hx"))
-    right = reps.select(F.col("doc_id").alias("y"), F.col("sig").alias("sy"), F.col("hashes").alias("hy"))
-    both = lookup(lookup(pairs, left, ["x"]), right, ["y"])
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (x, y) and ``linked``: passed the sequential test, then the exact check.
+
+    Signatures are joined first; full sets only for pairs that the test left alive.
+    ``sets`` is bucketed by doc_id, so these joins move the pairs, not the sets.
+    """
+    sig = lambda side: sets.select(F.col("doc_id").alias(side), F.col("sig").alias(f"s{side}"))
+    both = lookup(lookup(pairs, sig("x"), ["x"]), sig("y"), ["y"])
     # Running number of equal positions after each batch; pruned at the first look that falls short.
     running = F.lit(0)
     alive = F.lit(True)
@@ -114,12 +119,15 @@ def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         )
         running = running + batch
         alive = alive & (running >= fewest)
+    survivors = both.filter(alive).select("x", "y")
+    full = lambda side: sets.select(F.col("doc_id").alias(side), F.col("hashes").alias(f"h{side}"))
+    checked = lookup(lookup(survivors, full("x"), ["x"]), full("y"), ["y"])
     inter = F.size(F.array_intersect("hx", "hy"))
     union = F.size("hx") + F.size("hy") - inter
-    exact = inter * THRESHOLD[1] >= union * THRESHOLD[0]
-    return both.select("*", alive.alias("alive")).select(
-        *pairs.columns, (F.col("alive") & exact).alias("linked")
-    )
+    linked = checked.filter(inter * THRESHOLD[1] >= union * THRESHOLD[0]).select(
+        "x", "y", F.lit(True).alias("linked")
+    ).distinct()
+    return pairs.join(linked, ["x", "y"], "left").select("x", "y", F.coalesce("linked", F.lit(False)).alias("linked"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -128,37 +136,52 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     Repeated rows come back repeated and share their doc_id's component. A row with
     a null doc_id is linked with nothing: its component_id is null and it is kept.
     Documents with an empty set link with nothing. An empty table gives no rows.
+    Exact copies of a set are told by two independent hashes of the whole sorted set
+    (64 and 32 bits).
     """
-    sets = stage(shingle_sets(documents.select("doc_id", "text")), "minhash-sets")
-    usable = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).withColumn(
-        "set_key", F.xxhash64(F.col("hashes"))
+    spark = documents.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashes = F.col("hashes")
+    sets = shingle_sets(documents.select("doc_id", "text")).select(
+        "doc_id",
+        "n_shingles",
+        "hashes",
+        F.xxhash64(hashes).alias("set_key"),
+        F.hash(hashes).alias("set_check"),
+        F.when(F.size(hashes) > 0, signature(hashes)).alias("sig"),
     )
-    # Exact copies of a set: one representative each, copies checked equal to it.
-    firsts = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    rep_sets = usable.join(firsts, (usable.set_key == firsts.set_key) & (usable.doc_id == firsts.rep), "left_semi")
-    rep_sets = rep_sets.dropDuplicates(["doc_id"]).select("doc_id", "hashes", "set_key")
-    copies = lookup(usable.select("doc_id", "hashes", "set_key"), firsts, ["set_key"]).filter("doc_id <> rep")
-    same = lookup(copies, rep_sets.select(F.col("doc_id").alias("rep"), F.col("hashes").alias("rep_hashes")), ["rep"])
-    copy_links = same.filter(F.col("hashes") == F.col("rep_hashes")).select(
+    # Written once, bucketed by doc_id: later joins on doc_id move only their other side.
+    table = f"headway_minhash_{uuid.uuid4().hex}"
+    sets.write.bucketBy(parts, "doc_id").saveAsTable(table)
+    try:
+        return stage(_linked(spark.table(table)), "minhash")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _linked(sets: DataFrame) -> DataFrame:
+    usable = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    keys = usable.select("doc_id", "set_key", "set_check")
+    # Exact copies: one representative a set, the others link to it.
+    firsts = keys.groupBy("set_key", "set_check").agg(F.min("doc_id").alias("rep"))
+    copy_links = lookup(keys, firsts, ["set_key", "set_check"]).filter("doc_id <> rep").select(
         F.col("doc_id").alias("u"), F.col("rep").alias("v")
     )
-    # A set that shares a key but differs (a hash collision) goes on as its own representative.
-    odd = same.filter(F.col("hashes") != F.col("rep_hashes")).select("doc_id", "hashes")
-    reps = stage(
-        rep_sets.select("doc_id", "hashes").unionByName(odd).withColumn("sig", signature(F.col("hashes"))),
-        "minhash-signatures",
-    )
-
-    bands = reps.select(
+    bands = usable.select(
         "doc_id",
+        "set_key",
+        "set_check",
         F.posexplode(
             F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))
         ).alias("band", "bucket"),
     )
-    stars = bands.groupBy("band", "bucket").agg(F.min("doc_id").alias("star"))
-    members = lookup(bands, stars, ["band", "bucket"])
+    # Copies of a set fold into its representative here, combined on the map side.
+    members = bands.groupBy("band", "bucket", "set_key", "set_check").agg(F.min("doc_id").alias("doc_id"))
+    members = stage(members.select("doc_id", "band", "bucket"), "minhash-members")
+    stars = members.groupBy("band", "bucket").agg(F.min("doc_id").alias("star"))
+    members = lookup(members, stars, ["band", "bucket"])
     to_star = members.filter("doc_id <> star").select(F.col("doc_id").alias("x"), F.col("star").alias("y"))
-    star_links = stage(_verified(to_star.distinct(), reps), "minhash-star")
+    star_links = stage(_verified(to_star.distinct(), sets), "minhash-star")
     # Members that did not link to their star meet every member of that bucket.
     failed = star_links.filter(~F.col("linked")).select(F.col("x").alias("doc_id"), F.col("y").alias("star"))
     failed_buckets = members.join(failed, ["doc_id", "star"], "left_semi").select(
@@ -167,7 +190,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # Few rows on the left; a large bucket on the right is split by adaptive skew handling.
     others = failed_buckets.join(members.select(F.col("doc_id").alias("y"), "band", "bucket", "star"), ["band", "bucket"])
     others = others.filter("x <> y AND y <> star").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    rest = _verified(others.distinct(), reps)
+    rest = _verified(others.distinct(), sets)
 
     edges = (
         star_links.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
