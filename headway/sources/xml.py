@@ -35,11 +35,21 @@ def with_seq(scan: DataFrame) -> DataFrame:
 
     ``seq`` = file rank * 2^40 + start of the split + row number in the task. A
     record takes more than one byte, so the row number never reaches the next
-    split of the same file.
+    split of the same file. Parts that would not fit their bits (a split of more
+    than 2^33 rows, a file past 2^40 bytes, more than 2^23 files) stop the scan
+    with an error instead of giving numbers out of order.
     """
     files = sorted(scan.inputFiles())
+    if len(files) >= 1 << 23:
+        raise ValueError(f"{len(files)} files: file ranks need more than 23 bits of seq")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    offset = F.col("_metadata.file_block_start") + row
+    task_rows = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) == F.lit(2**33 - 1)
+    start = F.col("_metadata.file_block_start")
+    offset = (
+        F.when(task_rows, F.raise_error(F.lit("a split holds 2^33 rows or more: seq would overflow")))
+        .when(start + row >= F.lit(1 << 40), F.raise_error(F.lit("a file passes 2^40 bytes: seq would overflow")))
+        .otherwise(start + row)
+    )
     if len(files) <= 1:
         return scan.withColumn("seq", offset)
     ranks = scan.sparkSession.createDataFrame(
@@ -78,6 +88,16 @@ def scan_event_log(spark: SparkSession, path, one_per_line: bool = False) -> Dat
         return typed_events(with_seq(_read(spark, path, "event", _EVENT_XML)))
     lines = with_seq(spark.read.text(path))
     is_event = F.col("value").rlike(r"^\s*<event[\s/>]")
+    # The promise: every event element opens and closes on one line, alone there.
+    whole = F.col("value").rlike(r"^\s*<event[\s/>].*(/>|</event>)\s*$")
+    several = F.size(F.split("value", r"<event[\s/>]")) > 2
+    stray = ~is_event & F.col("value").rlike(r"<event[\s/>]")
+    broken = (is_event & (~whole | several)) | stray
+    lines = lines.withColumn(
+        "value",
+        F.when(broken, F.raise_error(F.concat(F.lit("not one event a line: "), F.substring("value", 1, 200))))
+        .otherwise(F.col("value")),
+    )
     parsed = lines.filter(is_event).select("seq", F.from_xml("value", _EVENT_XML, {"attributePrefix": "_"}).alias("e"))
     return typed_events(parsed.select("seq", "e.*"))
 

@@ -196,3 +196,30 @@ def test_two_link_bus_route_keeps_its_line(spark, tmp_path):
     covered = covered_links(inner, ["bus"], routes)
     assert sorted(r.link_id for r in covered.collect()) == ["c", "d"]
     assert covered_links(inner, ["bus"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "".join(EVENTS[:2]),  # two events on one line
+        '<event time="1" type="left link"\n vehicle="x" link="l"/>',  # one event over two lines
+        '<events><event time="1" type="left link" vehicle="x" link="l"/>',  # after another element
+    ],
+)
+def test_line_mode_refuses_a_broken_promise(spark, tmp_path, body):
+    """Line mode never drops an event: a log that is not one event a line stops the scan."""
+    from pyspark.errors import PySparkException
+
+    (tmp_path / "log.xml").write_text(document([body]))
+    with pytest.raises((PySparkException, Exception), match="not one event a line"):
+        xml.scan_event_log(spark, str(tmp_path / "log.xml"), one_per_line=True).collect()
+    assert xml.scan_event_log(spark, str(tmp_path / "log.xml")).count() >= 1  # element mode reads it
+
+
+def test_seq_beyond_33_and_40_bits_keeps_order(spark, tmp_path):
+    """seq packs file rank above bit 40; a second file's events follow all of the first's."""
+    for name, t in (("a.xml", 0), ("b.xml", 1)):
+        (tmp_path / name).write_text(document([f'<event time="{t}" type="left link" vehicle="v" link="l"/>'] * 3))
+    got = xml.scan_event_log(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [r.time for r in got] == [0.0] * 3 + [1.0] * 3
+    assert got[3].seq >= 1 << 40 > got[2].seq and all(r.seq < 1 << 41 for r in got)
