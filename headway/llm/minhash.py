@@ -1,7 +1,8 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. Every document's set of distinct 3-word shingles (lower-cased A-Z), each shingle
-   as its 64-bit hash, and its MinHash signature of ``HASHES`` values, all in SQL.
+   as its 64-bit hash, in SQL; its MinHash signature of ``HASHES`` values by NumPy
+   over Arrow batches (multiply-add hash functions modulo 2^64, least value a set).
 2. Exact copies of a set are folded first: one representative per set (its
    smallest doc_id), told by two independent hashes of the whole set; copies link
    to it. Sets and signatures are written once, bucketed by doc_id.
@@ -27,12 +28,16 @@ are joined through the library's skew-aware lookup.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from math import comb
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import stage
+from headway.llm.common import ready, stage
 from headway.llm.components import components
 from headway.operators.skew import lookup
 
@@ -92,12 +97,43 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
     )
 
 
-def signature(hashes: Column) -> Column:
-    """MinHash: for each of ``HASHES`` seeded 32-bit hash functions, the least value over the set."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(HASHES - 1)),
-        lambda i: F.array_min(F.transform(hashes, lambda h: F.hash(h, i))),
-    )
+#: Hash functions h_i(x) = A_i * x + B_i (mod 2^64) over the 64-bit shingle hashes.
+_RNG = np.random.Generator(np.random.PCG64(0x5EED))
+A = _RNG.integers(1, 1 << 63, size=HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+B = _RNG.integers(0, 1 << 63, size=HASHES, dtype=np.uint64)
+#: Set values a slice of the signature pass holds at once (memory: 64 bytes each).
+SLICE_VALUES = 1 << 20
+
+
+def signatures(sets: pa.ListArray) -> pa.Array:
+    """MinHash signatures (``HASHES`` longs) of a batch of sets; null for an empty or null set."""
+    sets = sets.cast(pa.large_list(pa.int64()))
+    offsets = np.asarray(sets.offsets, dtype=np.int64)
+    values = np.asarray(sets.values.fill_null(0), dtype=np.int64).view(np.uint64)
+    sizes = np.diff(offsets)
+    out = np.zeros((len(sets), HASHES), dtype=np.uint64)
+    rows = np.flatnonzero(sizes > 0)
+    cuts = np.searchsorted(np.cumsum(sizes[rows]), np.arange(SLICE_VALUES, sizes.sum() + SLICE_VALUES, SLICE_VALUES))
+    for part in np.split(rows, np.unique(cuts[cuts < len(rows)]) + 1):
+        if not len(part):
+            continue
+        lo, hi = offsets[part[0]], offsets[part[-1] + 1]
+        chunk = values[lo:hi]
+        starts = offsets[part] - lo
+        with np.errstate(over="ignore"):
+            for i in range(0, HASHES, 16):
+                mixed = chunk[:, None] * A[None, i : i + 16] + B[None, i : i + 16]
+                out[part, i : i + 16] = np.minimum.reduceat(mixed, starts, axis=0)
+    flat = pa.array(out.view(np.int64).ravel())
+    listed = pa.FixedSizeListArray.from_arrays(flat, HASHES).cast(pa.list_(pa.int64()))
+    return pc.if_else(pa.array(sizes > 0), listed, pa.nulls(len(sets), listed.type))
+
+
+def _signed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for frame in frames:
+        columns = [frame.column(n) for n in frame.schema.names]
+        sig = signatures(frame.column("hashes"))
+        yield pa.RecordBatch.from_arrays([*columns, sig], names=[*frame.schema.names, "sig"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -142,13 +178,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hashes = F.col("hashes")
+    ready(spark)
     sets = shingle_sets(documents.select("doc_id", "text")).select(
         "doc_id",
         "n_shingles",
         "hashes",
         F.xxhash64(hashes).alias("set_key"),
         F.hash(hashes).alias("set_check"),
-        F.when(F.size(hashes) > 0, signature(hashes)).alias("sig"),
+    )
+    sets = sets.mapInArrow(
+        _signed, "doc_id long, n_shingles long, hashes array<long>, set_key long, set_check int, sig array<long>"
     )
     # Written once, bucketed by doc_id: later joins on doc_id move only their other side.
     table = f"headway_minhash_{uuid.uuid4().hex}"

@@ -241,3 +241,24 @@ def test_stage_rows_do_not_depend_on_splits(spark, stage_name):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert results[0] == results[1]
     assert results[0] and all(r[1] == "mine" and r[2] == 2 * r[0] for r in results[0])
+
+
+def test_minhash_signatures_in_slices():
+    """The sliced NumPy pass equals the plain definition; empty and null sets have none."""
+    import pyarrow as pa
+
+    r = random.Random(3)
+    rows = [[r.randrange(-(2**63), 2**63) for _ in range(r.randrange(0, 9))] if r.random() > 0.1 else None for _ in range(300)]
+    old, minhash.SLICE_VALUES = minhash.SLICE_VALUES, 7
+    try:
+        got = minhash.signatures(pa.array(rows, pa.list_(pa.int64()))).to_pylist()
+    finally:
+        minhash.SLICE_VALUES = old
+    for x, s in zip(rows, got):
+        if not x:
+            assert s is None
+            continue
+        v = np.array(x, dtype=np.int64).view(np.uint64)
+        with np.errstate(over="ignore"):
+            want = (v[:, None] * minhash.A[None, :] + minhash.B[None, :]).min(0).view(np.int64)
+        assert s == list(want)
