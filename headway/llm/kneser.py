@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from headway.llm.common import numbered, ready, row_number, stage
+from headway.operators.skew import lookup
 
 ORDER = 5
-TRUSTED = 65_536  # labelled documents that the counts are taken from, at most
+MAP_BITS = 15  # rows of a scan whose trust is sent as one bitmap
 SHARDS = 128
 CHUNK_BITS = 12  # 4,096 consecutive rows of a scan's task are scored together
 CHUNKS_A_SHARD = 512  # chunks that one copy of a model shard serves
@@ -31,7 +32,6 @@ FOLDS = 5  # one fold of the trusted documents is not trained on, but measured f
 MIDDLE, UPPER, REACH = 0.5, 0.95, 8.0  # fence: upper + reach * (upper - middle)
 PRIOR = 64  # bytes of middle perplexity that are added to a document before it is judged
 LEAST = 20  # trusted documents that a language needs for a fence of its own
-LANGUAGES = 10_000  # languages with fences of their own, those with most such documents
 BLOCK = 1 << 20
 
 
@@ -84,6 +84,22 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select("doc_id", held_out.alias("held_out")).distinct()
 
 
+def only(docs: DataFrame, ids: DataFrame, row: str | None = None) -> DataFrame:
+    """The texts of all rows of ``docs`` whose doc_id is among ``ids``, without a shuffle of texts.
+
+    Numbers and ids alone are joined; the rows found go to the texts as one bit each, in
+    bitmaps of 32,768 rows. Both scans belong to one plan, so their numbers agree.
+    """
+    numbers = docs.select("doc_id", row_number(row).alias("_n")).join(ids, "doc_id", "left_semi")
+    part = F.shiftright("_n", MAP_BITS).alias("_part")
+    place = F.col("_n").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    maps = numbers.groupBy(part).agg(F.bitmap_construct_agg(place).alias("_map"))
+    byte = F.conv(F.hex(F.substring("_map", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    bit = F.getbit(byte.cast("long"), place.bitwiseAND(F.lit(7)).cast("int"))
+    rows = docs.select(row_number(row).alias("_n"), "text").withColumn("_part", part)
+    return rows.join(F.broadcast(maps), "_part").filter(bit == 1).select("text")
+
+
 def counts(docs: DataFrame) -> DataFrame:
     """``key`` and ``c`` of the n-grams of highest order."""
     ready(docs.sparkSession)
@@ -325,8 +341,6 @@ def _fences(trusted: DataFrame) -> DataFrame:
         shares.groupBy("lang")
         .agg(F.max("all").alias("n"), quantile(MIDDLE).alias("middle"), quantile(UPPER).alias("upper"))
         .filter((F.col("n") >= LEAST) | F.col("lang").isNull())
-        .orderBy(F.col("lang").isNotNull(), F.desc("n"), "lang")
-        .limit(LANGUAGES)
         .select(
             "lang",
             "middle",
@@ -338,9 +352,10 @@ def _fences(trusted: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, row, lang, n_bytes, perplexity (a byte), threshold and ``keep`` of every row.
 
-    Trained on documents that ``labels`` calls good and not toxic (four folds of five,
-    65,536 documents at most); the fences come from the fold left out, all of it. A document is kept if its perplexity - drawn to the language's middle one
-    as 64 more bytes would, for short texts say little - is no higher than its language's
+    Trained on all documents that ``labels`` calls good and not toxic but for one fold of
+    five; the fences come from that fold, all of it. A document is kept if its perplexity
+    - drawn to the language's middle one as 64 more bytes would, for short texts say
+    little - is no higher than its language's
     fence; languages with few trusted documents, and null ones, use the fence of all. Without
     any trusted document everything with text is kept. Empty and null texts have no
     perplexity and are not kept. Repeated rows are judged alike; long texts are read
@@ -348,18 +363,16 @@ def classify(docs: DataFrame, labels: DataFrame, row: str | None = None) -> Data
     """
     spark = ready(docs.sparkSession)
     trusted = stage(trusted_ids(labels), "kneser")
-    sample = trusted.filter("not held_out").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED)
-    sample = stage(sample.select("doc_id"), "kneser")
-    model = train(docs.join(F.broadcast(sample), "doc_id", "left_semi"))
+    model = train(only(docs, trusted.filter("not held_out").select("doc_id"), row))
     scored = stage(scores(docs, model, row), "kneser")
     measured = scored.filter("nll is not null").join(trusted.filter("held_out"), "doc_id", "left_semi")
     fences = stage(_fences(measured), "kneser")
     pooled = fences.filter("lang is null").first()
     middle, fence = (0.0, float("inf")) if pooled is None else (pooled["middle"], pooled["fence"])
-    own = F.broadcast(fences.filter("lang is not null").withColumnRenamed("lang", "_lang"))
+    own = fences.filter("lang is not null").withColumnRenamed("lang", "_lang")
     middle, fence = F.coalesce("middle", F.lit(middle)), F.coalesce("fence", F.lit(fence))
     judged = (F.col("nll") * F.col("n_bytes") + PRIOR * middle) / (F.col("n_bytes") + PRIOR)
-    return scored.join(own, F.coalesce("lang", F.lit("")) == F.col("_lang"), "left").select(
+    return lookup(scored.withColumn("_lang", F.coalesce("lang", F.lit(""))), own, ["_lang"]).select(
         "doc_id",
         "row",
         "lang",

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from headway.llm import tokens
+from headway.llm import kneser, tokens
 
 
 def test_pieces_of_odd_texts_have_the_tokenizers_ids(monkeypatch):
@@ -24,3 +24,26 @@ def test_pieces_of_odd_texts_have_the_tokenizers_ids(monkeypatch):
     assert sizes.tolist() == [len(w) for w in want]
     assert len(encoder.pieces) <= 50
     assert encoder.column(pa.array([], pa.string()))[0] == [] and encoder.ids("") == b""
+
+
+def test_kneser_trains_on_all_trusted_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(kneser, "TRUSTED", 5, raising=False)
+    seen = []
+    train = kneser.train
+
+    def watched(docs):
+        seen.extend(r.text for r in docs.collect())
+        return train(docs)
+
+    monkeypatch.setattr(kneser, "train", watched)
+    rows = [(i if i % 7 else None, f"text {i} of the corpus", "en") for i in range(400)]
+    rows += [(5, "text again", "en"), (6, None, "en")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    assert kneser.classify(docs, labels).count() == len(rows)
+    ids = kneser.trusted_ids(labels).filter("not held_out")
+    want = docs.join(ids, "doc_id", "left_semi").select("text").collect()
+    assert len(want) > 100
+    assert sorted(map(str, seen)) == sorted(str(r.text) for r in want)
