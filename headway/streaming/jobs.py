@@ -42,7 +42,7 @@ def mark_end(spark: SparkSession, folder: str) -> None:
 
 
 def _stateful(
-    log: DataFrame, key: str, processor: P.KeyedLog, table: str, ends: DataFrame | None, lateness: str
+    log: DataFrame, processor: P.KeyedLog, table: str, ends: DataFrame | None, lateness: str
 ) -> DataFrame:
     log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     fields = [T.StructField(f.name, f.dataType, True) for f in S.RECORDS[table]]
@@ -54,13 +54,15 @@ def _stateful(
             T.StructField(P.LATE_ROW, T.StringType(), True),
         ]
     )
+    bucket = F.pmod(F.xxhash64(processor.key), F.lit(P.BUCKETS)).cast("int")
+    log = log.withColumn(P.BUCKET, F.when(F.col(processor.key).isNotNull(), bucket))
     columns = log.columns
     if ends is not None:
         log = log.unionByName(ends, allowMissingColumns=True)
     at = F.when(~F.isnan("time"), F.timestamp_millis(F.floor(F.least("time", F.lit(END)) * 1000)))
     # The time column itself goes no further: the processor sets late rows apart, Spark drops none.
     timed = log.withColumn("at", at).withWatermark("at", lateness).select(*columns)
-    return timed.groupBy(key).transformWithStateInPandas(
+    return timed.groupBy(P.BUCKET).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
     )
 
@@ -70,14 +72,14 @@ def stream_bus_boardings(
 ) -> DataFrame:
     """Rows are worked on once events ``lateness`` later have come, or the mark in ``ends``."""
     log = boarding_log(events, buses, "time")
-    return _stateful(log, "bus", P.Boardings(), "bus_pax_records", ends, lateness)
+    return _stateful(log, P.Boardings(), "bus_pax_records", ends, lateness)
 
 
 def stream_bus_stop_delays(
     events: DataFrame, buses: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
 ) -> DataFrame:
     log = delay_log(events, buses, "time")
-    rows = _stateful(log, "bus", P.StopDelays(), "bus_delay_records", ends, lateness)
+    rows = _stateful(log, P.StopDelays(), "bus_delay_records", ends, lateness)
     # The way out of pandas turns NaN (no delay given) into null.
     delays = {
         c: F.when(F.col(P.LATE).isNull(), F.coalesce(c, F.lit(float("nan"))))
@@ -90,14 +92,14 @@ def stream_bus_link_traversals(
     events: DataFrame, buses: DataFrame, link_km: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
 ) -> DataFrame:
     log = bus_log(events, buses, link_km)
-    return _stateful(log, "bus", P.LinkTraversals(), "bus_trip_records", ends, lateness)
+    return _stateful(log, P.LinkTraversals(), "bus_trip_records", ends, lateness)
 
 
 def stream_person_trips(
     events: DataFrame, blacklist: DataFrame, ends: DataFrame | None = None, lateness: str = LATENESS
 ) -> DataFrame:
     log = trip_log(events, blacklist)
-    return _stateful(log, "person", P.PersonTrips(), "trip_records", ends, lateness)
+    return _stateful(log, P.PersonTrips(), "trip_records", ends, lateness)
 
 
 def stream_iteration_filter(events: DataFrame, target: int) -> DataFrame:
