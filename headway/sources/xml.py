@@ -30,6 +30,31 @@ def _read(spark: SparkSession, path, row_tag: str, schema: str) -> DataFrame:
     )
 
 
+def _read_split(spark: SparkSession, path, tag: str, schema: str) -> DataFrame:
+    """Elements ``tag`` of UTF-8 files like :func:`_read`, but a large file is read in splits.
+
+    Files are cut behind every closing tag. What does not allow that - the tag in a
+    comment that holds its end, in CDATA, a closing tag with a space, an element cut off -
+    stops the scan with an error; no element is lost without a word.
+    """
+    start = rf"<{tag}[\s/>]"
+    empty = rf"""(<{tag}(?:\s+[^\s=<>/]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*/>)"""
+    text = F.regexp_replace("value", "(?s)<!--.*?-->", "")
+    lines = spark.read.text(path, lineSep=f"</{tag}>").select(text.alias("value"))
+    lines = lines.select(
+        F.regexp_extract_all("value", F.lit(empty), 1).alias("empty"),
+        F.regexp_replace("value", empty, "").alias("value"),
+    )
+    opened = F.size(F.split("value", start)) - 1
+    broken = (opened > 1) | F.col("value").rlike(rf"<!--|-->|<!\[CDATA\[|</{tag}[\s>]")
+    message = F.concat(F.lit(f"cannot be cut behind </{tag}>: "), F.substring("value", 1, 200))
+    whole = F.concat(F.regexp_extract("value", f"(?s)({start}.*)$", 1), F.lit(f"</{tag}>"))
+    own = F.when(broken, F.array(F.raise_error(message).cast("string"))).when(opened == 1, F.array(whole))
+    rows = lines.select(F.explode(F.concat("empty", F.coalesce(own, F.array().cast("array<string>")))).alias("value"))
+    options = {"attributePrefix": "_", "mode": "FAILFAST"}
+    return rows.select(F.from_xml("value", schema, options).alias("e")).select("e.*")
+
+
 def with_seq(scan: DataFrame) -> DataFrame:
     """Number the rows of a file scan in file order; files are ordered by path.
 
@@ -183,9 +208,10 @@ _ACTIVITIES = "array<struct<_type string, _x double, _y double>>"
 def scan_population(spark: SparkSession, path, element: str = "activity") -> DataFrame:
     """Activities of all plans in plan order (``element="act"`` for older files).
 
-    A person without a plan, or with an empty one, has one row without an activity.
+    A person without a plan, or with an empty one, has one row without an activity. Files
+    without compression are read in splits.
     """
-    people = _read(
+    people = _read_split(
         spark, path, "person", f"_id string, plan array<struct<_selected string, {element} {_ACTIVITIES}>>"
     )
     plans = people.select(F.col("_id").alias("person_id"), F.explode_outer("plan").alias("p"))
