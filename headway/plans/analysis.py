@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -16,6 +16,7 @@ from headway.operators.trips import person_trips
 from headway.plans.metrics import facts
 from headway.plans.score import scenario_facts, score
 from headway.plans.store import EventStore, land_events
+from headway.session import stage
 from headway.sources.records import read_table, write_table
 
 
@@ -30,6 +31,12 @@ class Scenario:
     #: Modes of all routes; without it a line is known by its route links and stops.
     routes: DataFrame | None = None
 
+    def written(self) -> Scenario:
+        """The same with links and vehicles worked out once, so each use reads a table of known size."""
+        return replace(
+            self, links=stage(self.links, "links"), transit_vehicles=stage(self.transit_vehicles, "vehicles")
+        )
+
     def buses(self, params: Params) -> DataFrame:
         return sc.buses(self.transit_vehicles, params.bus_types)
 
@@ -92,8 +99,10 @@ def analyse(
     ``record`` works out metrics of weight zero as well, for the score record.
     ``landed``: the raw log is read once into an event store that all four
     extractors share (:mod:`headway.plans.store`); the store is dropped afterwards.
+    The scenario's links and vehicles, which every extractor asks for, are written once.
     """
     spark = events.sparkSession
+    scenario = scenario.written()
     store = land_events(events) if landed else None
     written = {}
     try:

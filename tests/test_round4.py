@@ -3,10 +3,14 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from headway import schemas as S
+from headway.plans.analysis import analyse
 from headway.sources import xml
 from headway.streaming import processors as P
+from workload import queries as Q
+from workload import tables as T
 
 
 def test_keys_of_a_bucket_worked_at_once_equal_keys_alone():
@@ -55,3 +59,20 @@ def test_population_is_read_in_splits(spark, tmp_path):
             xml.scan_population(spark, str(path)).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_analysis_works_vehicles_out_once(spark, tmp_path):
+    sf, seen = "/root/testdata/sf0.001", spark.sparkContext.accumulator(0)
+    scenario = Q._log_scenario(spark, sf)
+    vehicles = scenario.transit_vehicles
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = vehicles.mapInArrow(passed, vehicles.schema)
+    scenario = type(scenario)(**{**vars(scenario), "transit_vehicles": watched})
+    got = analyse(T.event_log(spark, sf), scenario, str(tmp_path / "out"), Q.PARAMS, Q.WEIGHTS, "csv")
+    assert got.select(F.isnan("final_score")).first()[0] is False
+    assert seen.value == vehicles.count()
