@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import bases, partition_id, ranged, ready, stage
-from headway.llm.tokens import tokenized
+from headway.llm.tokens import encoding
 
 QUEUES = 64  # sources beyond the largest ones share the last queue
 
@@ -123,11 +123,12 @@ def pack(
         "doc_id",
         "tie",
     )
-    rows = tokenized(ordered, ["doc_id", "queue"], end, path)
+    # Tokenised and placed in one pass: a second one would hold a worker more for each task.
+    rows, encode = encoding(ordered, ["doc_id", "queue"], end, path)
 
     def places(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, ends = partition_id(), {}
-        for frame in frames:
+        for frame in encode(frames):
             at = []
             for q, n in zip(frame.column(1).to_pylist(), frame.column(3).to_pylist(), strict=True):
                 at.append(ends.get(q, 0))
