@@ -1,22 +1,25 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. Every document's set of distinct 3-word shingles (lower-cased A-Z), each shingle
-   as its 64-bit hash, in SQL; its MinHash signature of ``HASHES`` values by NumPy
-   over Arrow batches (multiply-add hash functions modulo 2^64, least value a set).
+   as its 64-bit hash, and its MinHash signature of ``HASHES`` values (multiply-add
+   hash functions modulo 2^64, least value a set), by NumPy over blocks of text.
+   Written are the set's size, two hashes of the whole set and a bucket for each of
+   ``BANDS`` bands of ``ROWS`` values, so a document takes as much room as any other.
 2. Exact copies of a set are folded first: one representative per set (its
    smallest doc_id), told by two independent hashes of the whole set; copies link
-   to it. Sets and signatures are written once, bucketed by doc_id.
-3. Representatives are banded (``BANDS`` bands of ``ROWS`` values). In a bucket
-   every member is paired with the bucket's smallest member (its star) only, so a
-   bucket of m members gives m - 1 pairs, never m^2.
+   to it.
+3. In a bucket every representative is paired with the bucket's smallest one (its
+   star) only, so a bucket of m members gives m - 1 pairs, never m^2. Sets and
+   signatures are made again for members of buckets of two or more, and only theirs
+   are written and joined.
 4. A pair's signatures are compared in batches of ``BATCH`` positions. After each
    batch the posterior of the similarity (uniform prior, Beta posterior) is asked
    how likely a similarity at the threshold still is; below ``MISS`` the pair is
    pruned. Survivors are verified exactly on their full sets.
-5. A member that does not link to its star (pruned or refused) is compared with
-   every other member of that bucket the same way. Members that both link to the
-   star are in one component already, so every candidate link inside a bucket is
-   either tested or implied: components equal those of all candidate pairs.
+5. Where a bucket then still holds several components, its members of different
+   components take the sequential test with one another, by NumPy over signatures
+   (larger buckets by pairs of blocks), and survivors are verified. Members of one
+   component need no test, so components equal those of all candidate pairs.
 6. Components of the links (smallest doc_id reachable) by the shared
    large-star/small-star rounds.
 
@@ -27,7 +30,7 @@ are joined through the library's skew-aware lookup.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Iterator
 from math import comb
 
@@ -37,9 +40,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import ready, stage
+from headway.llm.common import batches, ready, stage
 from headway.llm.components import components
-from headway.operators.skew import lookup
+from headway.llm.hashing import SEGMENT, mixed, range_hashes
+from headway.operators.skew import fits_broadcast, lookup
 
 # Fixed values of the contract.
 SHINGLE = 3
@@ -51,7 +55,10 @@ HASHES, BANDS, ROWS = 128, 32, 4
 BATCH = 16
 #: Chance, per step, to prune a pair whose similarity is at the threshold.
 MISS = 1e-6
-SPACE = "[\\x20\\x09-\\x0D]+"
+#: Bytes of text whose sets are held at once.
+BLOCK = 1 << 20
+#: Members of a bucket, or of a block of a larger one, that are compared in one place.
+MEMBERS = 4096
 
 
 def _fewest_matches(looked: int) -> int:
@@ -73,74 +80,168 @@ def _fewest_matches(looked: int) -> int:
 LOOKS = [(n, _fewest_matches(n)) for n in range(BATCH, HASHES + 1, BATCH)]
 
 
-def shingle_sets(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles (distinct shingles, exact), hashes (sorted distinct 64-bit hashes).
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_INSIDE = np.ones(256, dtype=bool)
+_INSIDE[[0x20, *range(0x09, 0x0E)]] = False
+_MIX = np.uint64(0x9FB21C651E98DF25)
+
+
+def _word_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words [first, end) of some bytes, a segment of bytes at once."""
+    out, at = np.empty(len(first), np.uint64), 0
+    while at < len(first):
+        upto = int(np.searchsorted(end, first[at] + SEGMENT, side="right"))
+        if upto > at:
+            lo, hi = first[at], end[upto - 1]
+            out[at:upto] = range_hashes(data[lo:hi], first[at:upto] - lo, end[at:upto] - lo)
+        else:  # a word longer than a segment
+            upto = at + 1
+            digest = hashlib.blake2b(data[first[at] : end[at]].tobytes(), digest_size=8).digest()
+            out[at] = int.from_bytes(digest, "little")
+        at = upto
+    return mixed(out)
+
+
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mixed(left * _MIX + right)
+
+
+def shingle_sets(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit shingle hashes of each text, one text behind another, and where they start.
 
     Null or word-less text: an empty set. Fewer than three words: the whole word
     sequence is the one shingle.
     """
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    shingles = F.when(F.size("_w") == 0, F.array().cast("array<string>")).when(
-        F.size("_w") < SHINGLE, F.array(F.array_join("_w", " "))
-    ).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size("_w") - SHINGLE + 1), lambda i: F.array_join(F.slice("_w", i, SHINGLE), " "))
-    )
-    return (
-        documents.select(F.col("doc_id"), words.alias("_w"))
-        .select("doc_id", F.array_distinct(shingles).alias("_s"))
-        .select(
-            "doc_id",
-            F.size("_s").cast("long").alias("n_shingles"),
-            F.array_sort(F.array_distinct(F.transform("_s", lambda s: F.xxhash64(s)))).alias("hashes"),
-        )
-    )
+    if isinstance(texts, pa.ChunkedArray):
+        texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8) if held else np.zeros(0, np.uint8)
+    data, offsets = _LOWER[data[offsets[0] : offsets[-1]]], offsets - offsets[0]
+    inside = _INSIDE[data]
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    starts, stops = inside.copy(), inside.copy()
+    starts[1:] &= ~inside[:-1]
+    stops[:-1] &= ~inside[1:]
+    starts[heads] = inside[heads]
+    stops[heads[1:] - 1] = inside[heads[1:] - 1]
+    first, end = np.flatnonzero(starts), np.flatnonzero(stops) + 1
+    word = _word_hashes(data, first, end)
+    upto = np.searchsorted(first, offsets)
+    words = np.diff(upto)
+    sizes = np.where(words >= SHINGLE, words - SHINGLE + 1, np.minimum(words, 1))
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    # The word that each shingle starts with; texts of one or two words are told apart by a salt.
+    head = np.arange(begin[-1]) + np.repeat(upto[:-1] - begin[:-1], sizes)
+    many = np.repeat(words, sizes)
+    shingles = word[head]
+    two = many >= 2
+    shingles[two] = _joined(shingles[two], word[head[two] + 1])
+    three = many >= SHINGLE
+    shingles[three] = _joined(shingles[three], word[head[three] + 2])
+    shingles[~three] = mixed(shingles[~three] ^ many[~three].astype(np.uint64))
+    values = shingles.view(np.int64)
+    for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        values[lo:hi].sort()
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    fresh[begin[:-1][sizes > 0]] = True
+    return values[fresh], np.concatenate(([0], np.cumsum(fresh)))[begin]
 
 
 #: Hash functions h_i(x) = A_i * x + B_i (mod 2^64) over the 64-bit shingle hashes.
 _RNG = np.random.Generator(np.random.PCG64(0x5EED))
 A = _RNG.integers(1, 1 << 63, size=HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 B = _RNG.integers(0, 1 << 63, size=HASHES, dtype=np.uint64)
-#: Set values a slice of the signature pass holds at once (memory: 64 bytes each).
-SLICE_VALUES = 1 << 20
+#: Set values a slice of the signature pass holds at once: they stay in a core's cache.
+SLICE_VALUES = 1 << 14
 
 
-def signatures(sets: pa.ListArray) -> pa.Array:
-    """MinHash signatures (``HASHES`` longs) of a batch of sets; null for an empty or null set."""
-    sets = sets.cast(pa.large_list(pa.int64()))
-    offsets = np.asarray(sets.offsets, dtype=np.int64)
-    values = np.asarray(sets.values.fill_null(0), dtype=np.int64).view(np.uint64)
-    sizes = np.diff(offsets)
-    out = np.zeros((len(sets), HASHES), dtype=np.uint64)
+def _signatures(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """MinHash signatures of the sets ``values[begin[i]:begin[i + 1]]``; zeros for empty ones."""
+    values = values.view(np.uint64)
+    sizes = np.diff(begin)
+    out = np.zeros((HASHES, len(sizes)), dtype=np.uint64)
     rows = np.flatnonzero(sizes > 0)
     cuts = np.searchsorted(np.cumsum(sizes[rows]), np.arange(SLICE_VALUES, sizes.sum() + SLICE_VALUES, SLICE_VALUES))
     for part in np.split(rows, np.unique(cuts[cuts < len(rows)]) + 1):
         if not len(part):
             continue
-        lo, hi = offsets[part[0]], offsets[part[-1] + 1]
-        chunk = values[lo:hi]
-        starts = offsets[part] - lo
-        with np.errstate(over="ignore"):
-            for i in range(0, HASHES, 16):
-                mixed = chunk[:, None] * A[None, i : i + 16] + B[None, i : i + 16]
-                out[part, i : i + 16] = np.minimum.reduceat(mixed, starts, axis=0)
+        chunk = values[begin[part[0]] : begin[part[-1] + 1]]
+        starts = begin[part] - begin[part[0]]
+        hashed = np.empty(len(chunk), np.uint64)
+        for i in range(HASHES):
+            np.multiply(chunk, A[i], out=hashed)
+            np.add(hashed, B[i], out=hashed)
+            out[i, part] = np.minimum.reduceat(hashed, starts)
+    return np.ascontiguousarray(out.T)
+
+
+def signatures(sets: pa.ListArray) -> pa.Array:
+    """MinHash signatures (``HASHES`` longs) of a batch of sets; null for an empty or null set."""
+    sets = sets.cast(pa.large_list(pa.int64()))
+    begin = np.asarray(sets.offsets, dtype=np.int64)
+    out = _signatures(np.asarray(sets.values.fill_null(0), dtype=np.int64), begin)
     flat = pa.array(out.view(np.int64).ravel())
     listed = pa.FixedSizeListArray.from_arrays(flat, HASHES).cast(pa.list_(pa.int64()))
-    return pc.if_else(pa.array(sizes > 0), listed, pa.nulls(len(sets), listed.type))
+    return pc.if_else(pa.array(np.diff(begin) > 0), listed, pa.nulls(len(sets), listed.type))
+
+
+def _band_hashes(sig: np.ndarray) -> np.ndarray:
+    """A bucket for each band (columns) of each signature; buckets of two bands never agree but by chance."""
+    values = sig.reshape(len(sig), BANDS, ROWS)
+    out = np.broadcast_to(mixed(np.arange(1, BANDS + 1, dtype=np.uint64)), values.shape[:2])
+    for i in range(ROWS):
+        out = _joined(out, values[:, :, i])
+    return out
+
+
+def _column(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values))
+
+
+def _totals(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums, modulo 2^64, of each set's values; zero for empty ones."""
+    out = np.zeros(len(begin) - 1, np.uint64)
+    rows = np.flatnonzero(np.diff(begin) > 0)
+    if len(rows):
+        out[rows] = np.add.reduceat(values, begin[rows])
+    return out.view(np.int64)
+
+
+def _banded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in batches(frames, BLOCK, "text"):
+        values, begin = shingle_sets(block["text"])
+        bands = _band_hashes(_signatures(values, begin)).view(np.int64)
+        held = values.view(np.uint64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                block["doc_id"].combine_chunks(),
+                pa.array(np.diff(begin)),
+                pa.array(_totals(mixed(held), begin)),
+                pa.array(_totals(mixed(held ^ _MIX), begin)),
+                _column(bands.ravel(), np.arange(len(bands) + 1) * BANDS),
+            ],
+            ["doc_id", "n_shingles", "set_key", "set_check", "buckets"],
+        )
 
 
 def _signed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for frame in frames:
-        columns = [frame.column(n) for n in frame.schema.names]
-        sig = signatures(frame.column("hashes"))
-        yield pa.RecordBatch.from_arrays([*columns, sig], names=[*frame.schema.names, "sig"])
+    for block in batches(frames, BLOCK, "text"):
+        values, begin = shingle_sets(block["text"])
+        sets = _column(values, begin)
+        yield pa.RecordBatch.from_arrays(
+            [block["doc_id"].combine_chunks(), sets, signatures(sets)], ["doc_id", "hashes", "sig"]
+        )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (x, y) and ``linked``: passed the sequential test, then the exact check.
 
     Signatures are joined first; full sets only for pairs that the test left alive.
-    ``sets`` is bucketed by doc_id, so these joins move the pairs, not the sets.
+    ``sets`` holds those of the members of crowded buckets only.
     """
     sig = lambda side: sets.select(F.col("doc_id").alias(side), F.col("sig").alias(f"s{side}"))
     both = lookup(lookup(pairs, sig("x"), ["x"]), sig("y"), ["y"])
@@ -166,75 +267,120 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(linked, ["x", "y"], "left").select("x", "y", F.coalesce("linked", F.lit(False)).alias("linked"))
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members in order of buckets; those of more than ``MEMBERS`` are dealt by pairs of blocks."""
+    blocks = F.ceil(F.col("n") / MEMBERS).cast("int")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    dealt = dealt.select(
+        "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", "doc_id", "root", "sig",
+    )
+    keys = ["bucket", "lo", "hi"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def _alive(block: np.ndarray, doc: np.ndarray, root: np.ndarray, sig: np.ndarray) -> Iterator[tuple]:
+    """Pairs of a bucket's members, of different components, that pass the sequential test."""
+    across = block.min() != block.max()  # members of one block meet where that block is alone
+    for i in range(len(doc) - 1):
+        keep = root[i + 1 :] != root[i]
+        if across:
+            keep &= block[i + 1 :] != block[i]
+        other = np.flatnonzero(keep) + i + 1
+        same = np.zeros(len(other), np.int64)
+        for looked, fewest in LOOKS:
+            same += (sig[other, looked - BATCH : looked] == sig[i, looked - BATCH : looked]).sum(axis=1)
+            other, same = other[same >= fewest], same[same >= fewest]
+            if not len(other):
+                break
+        if len(other):
+            yield np.minimum(doc[other], doc[i]), np.maximum(doc[other], doc[i])
+
+
+def _compared(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (x, y) of rows of :func:`_dealt`, a bucket or pair of blocks at a time."""
+
+    def compared(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for x, y in _alive(*(np.concatenate(c) for c in zip(*held, strict=True))):
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+    now, held = None, []
+    for frame in frames:
+        keys = np.stack([frame.column(i).to_numpy().astype(np.int64) for i in range(3)])
+        edges = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
+        columns = [frame.column(i).to_numpy() for i in (3, 4, 5)]
+        columns.append(frame.column(6).flatten().to_numpy().reshape(-1, HASHES))
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), frame.num_rows], strict=True):
+            if hi > lo:
+                if held and now != tuple(keys[:, lo]):
+                    yield from compared(held)
+                    held = []
+                now = tuple(keys[:, lo])
+                held.append(tuple(c[lo:hi] for c in columns))
+    if held:
+        yield from compared(held)
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every input row (see module docstring).
 
     Repeated rows come back repeated and share their doc_id's component. A row with
     a null doc_id is linked with nothing: its component_id is null and it is kept.
     Documents with an empty set link with nothing. An empty table gives no rows.
-    Exact copies of a set are told by two independent hashes of the whole sorted set
-    (64 and 32 bits).
+    Exact copies of a set are told by two independent 64-bit hashes of the whole set.
     """
-    spark = documents.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hashes = F.col("hashes")
-    ready(spark)
-    sets = shingle_sets(documents.select("doc_id", "text")).select(
-        "doc_id",
-        "n_shingles",
-        "hashes",
-        F.xxhash64(hashes).alias("set_key"),
-        F.hash(hashes).alias("set_check"),
-    )
-    sets = sets.mapInArrow(
-        _signed, "doc_id long, n_shingles long, hashes array<long>, set_key long, set_check int, sig array<long>"
+    ready(documents.sparkSession)
+    texts = documents.select("doc_id", "text")
+    sets = stage(
+        texts.mapInArrow(
+            _banded, "doc_id long, n_shingles long, set_key long, set_check long, buckets array<long>"
+        ),
+        "minhash-sets",
     )
-    # Written once, bucketed by doc_id: later joins on doc_id move only their other side.
-    table = f"headway_minhash_{uuid.uuid4().hex}"
-    sets.write.bucketBy(parts, "doc_id").saveAsTable(table)
-    try:
-        return stage(_linked(spark.table(table)), "minhash")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
-def _linked(sets: DataFrame) -> DataFrame:
     usable = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    keys = usable.select("doc_id", "set_key", "set_check")
-    # Exact copies: one representative a set, the others link to it.
-    firsts = keys.groupBy("set_key", "set_check").agg(F.min("doc_id").alias("rep"))
-    copy_links = lookup(keys, firsts, ["set_key", "set_check"]).filter("doc_id <> rep").select(
-        F.col("doc_id").alias("u"), F.col("rep").alias("v")
+    # Exact copies: one representative a set, the others link to it. A set decides its buckets.
+    firsts = stage(
+        usable.groupBy("set_key", "set_check").agg(
+            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets")
+        ),
+        "minhash-firsts",
     )
-    bands = usable.select(
-        "doc_id",
-        "set_key",
-        "set_check",
-        F.posexplode(
-            F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))
-        ).alias("band", "bucket"),
+    copied = firsts.filter("n > 1").select("set_key", "set_check", "rep")
+    copies = lookup(usable.select("doc_id", "set_key", "set_check"), copied, ["set_key", "set_check"], "inner")
+    copy_links = copies.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    banded = firsts.select(F.col("rep").alias("doc_id"), F.explode("buckets").alias("bucket"))
+    crowded = stage(
+        banded.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("star"))
+        .filter("n > 1")
+        .select("bucket", "star", "n"),
+        "minhash-crowded",
     )
-    # Copies of a set fold into its representative here, combined on the map side.
-    members = bands.groupBy("band", "bucket", "set_key", "set_check").agg(F.min("doc_id").alias("doc_id"))
-    members = stage(members.select("doc_id", "band", "bucket"), "minhash-members")
-    stars = members.groupBy("band", "bucket").agg(F.min("doc_id").alias("star"))
-    members = lookup(members, stars, ["band", "bucket"])
+    # Large buckets are split by adaptive skew handling: a bucket has one row on the right.
+    members = stage(banded.join(crowded, "bucket"), "minhash-members")
+    nodes = stage(members.select("doc_id").distinct(), "minhash-nodes")
+    near = texts.join(nodes if fits_broadcast(nodes) else nodes.hint("shuffle_hash"), "doc_id", "left_semi")
+    near = stage(near.mapInArrow(_signed, "doc_id long, hashes array<long>, sig array<long>"), "minhash-near")
+
     to_star = members.filter("doc_id <> star").select(F.col("doc_id").alias("x"), F.col("star").alias("y"))
-    star_links = stage(_verified(to_star.distinct(), sets), "minhash-star")
-    # Members that did not link to their star meet every member of that bucket.
-    failed = star_links.filter(~F.col("linked")).select(F.col("x").alias("doc_id"), F.col("y").alias("star"))
-    failed_buckets = members.join(failed, ["doc_id", "star"], "left_semi").select(
-        F.col("doc_id").alias("x"), "band", "bucket"
+    star_links = stage(_verified(stage(to_star.distinct(), "minhash-pairs"), near), "minhash-star")
+    linked = star_links.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
+    known = stage(components(linked.unionByName(copy_links)), "minhash-known")
+    # In buckets that still hold several components, members of different ones are compared.
+    labels = known.select(F.col("node").alias("doc_id"), F.col("root").alias("root"))
+    labelled = lookup(members.filter("n > 2").select("doc_id", "bucket", "n"), labels, ["doc_id"]).select(
+        "doc_id", "bucket", "n", F.coalesce("root", "doc_id").alias("root")
     )
-    # Few rows on the left; a large bucket on the right is split by adaptive skew handling.
-    others = failed_buckets.join(members.select(F.col("doc_id").alias("y"), "band", "bucket", "star"), ["band", "bucket"])
-    others = others.filter("x <> y AND y <> star").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    rest = _verified(others.distinct(), sets)
-
-    edges = (
-        star_links.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
-        .unionByName(rest.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v")))
-        .unionByName(copy_links)
+    labelled = stage(labelled, "minhash-labelled")
+    open_ = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    left = labelled.join(open_.select("bucket"), "bucket", "left_semi").join(near.select("doc_id", "sig"), "doc_id")
+    alive = stage(_dealt(left).mapInArrow(_compared, "x long, y long").distinct(), "minhash-others")
+    rest = _verified(alive, near)
+
+    edges = known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
+        rest.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
     )
     roots = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("_root"))
     out = lookup(sets.select("doc_id", "n_shingles"), roots, ["doc_id"])
