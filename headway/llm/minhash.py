@@ -18,8 +18,11 @@
    pruned. Survivors are verified exactly on their full sets.
 5. Where a bucket then still holds several components, its members of different
    components take the sequential test with one another, by NumPy over signatures
-   (larger buckets by pairs of blocks), and survivors are verified. Members of one
-   component need no test, so components equal those of all candidate pairs.
+   (larger buckets by pairs of blocks), and survivors are verified on their full sets
+   in the same place. Only links that join two components leave it, fewer than there
+   are members, and a pair is looked at in the first of its common buckets alone.
+   Members of one component need no test, so components equal those of all candidate
+   pairs.
 6. Components of the links (smallest doc_id reachable) by the shared
    large-star/small-star rounds.
 
@@ -57,8 +60,9 @@ BATCH = 16
 MISS = 1e-6
 #: Bytes of text whose sets are held at once.
 BLOCK = 1 << 20
-#: Members of a bucket, or of a block of a larger one, that are compared in one place.
-MEMBERS = 4096
+#: Members of a bucket, or of a block of a larger one, that are compared in one place,
+#: and the values of their sets.
+MEMBERS, VALUES = 4096, 1 << 22
 
 
 def _fewest_matches(looked: int) -> int:
@@ -268,27 +272,39 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _dealt(members: DataFrame) -> DataFrame:
-    """Members in order of buckets; those of more than ``MEMBERS`` are dealt by pairs of blocks."""
-    blocks = F.ceil(F.col("n") / MEMBERS).cast("int")
+    """Members in order of buckets; buckets above ``MEMBERS`` or ``VALUES`` are dealt by pairs of blocks."""
+    blocks = F.ceil(F.greatest(F.col("n") / MEMBERS, F.col("total") / VALUES)).cast("int")
     dealt = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
     dealt = dealt.select(
         "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "block", "doc_id", "root", "sig",
+        "block", "doc_id", "root", "sig", "hashes",
     )
     keys = ["bucket", "lo", "hi"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def _alive(block: np.ndarray, doc: np.ndarray, root: np.ndarray, sig: np.ndarray) -> Iterator[tuple]:
-    """Pairs of a bucket's members, of different components, that pass the sequential test."""
+def _alive(
+    block: np.ndarray, doc: np.ndarray, root: np.ndarray, sig: np.ndarray,
+    sizes: np.ndarray | None = None, earlier: np.ndarray | None = None,
+) -> Iterator[tuple]:
+    """Pairs of a bucket's members, of different components, that pass the sequential test.
+
+    Not those whose ``sizes`` are too far apart for a link, nor those that meet in a
+    bucket of ``earlier`` (columns) already. ``root`` may change between two pairs.
+    """
     across = block.min() != block.max()  # members of one block meet where that block is alone
     for i in range(len(doc) - 1):
         keep = root[i + 1 :] != root[i]
         if across:
             keep &= block[i + 1 :] != block[i]
+        if sizes is not None:
+            least, most = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+            keep &= least * THRESHOLD[1] >= most * THRESHOLD[0]
         other = np.flatnonzero(keep) + i + 1
+        if earlier is not None and len(other):
+            other = other[~(earlier[other] == earlier[i]).any(axis=1)]
         same = np.zeros(len(other), np.int64)
         for looked, fewest in LOOKS:
             same += (sig[other, looked - BATCH : looked] == sig[i, looked - BATCH : looked]).sum(axis=1)
@@ -299,12 +315,47 @@ def _alive(block: np.ndarray, doc: np.ndarray, root: np.ndarray, sig: np.ndarray
             yield np.minimum(doc[other], doc[i]), np.maximum(doc[other], doc[i])
 
 
+def _links(
+    bucket: int, block: np.ndarray, doc: np.ndarray, root: np.ndarray, sig: np.ndarray,
+    values: np.ndarray, sizes: np.ndarray,
+) -> tuple[list, list]:
+    """Links (x, y) of a bucket's members, checked on full sets, that join two components each."""
+    bands = _band_hashes(sig.view(np.uint64)).view(np.int64)
+    own = int(np.argmax((bands == bucket).any(axis=0)))
+    root, begin, x, y = root.copy(), np.concatenate(([0], np.cumsum(sizes))), [], []
+    known = None
+    for one, others in _alive(block, np.arange(len(doc)), root, sig, sizes, bands[:, :own]):
+        if known is None:  # values that one set alone has are common to none
+            _, number, count = np.unique(values, return_inverse=True, return_counts=True)
+            shared = count > 1
+            known = (np.cumsum(shared) - 1)[number[shared[number]]]
+            begin = np.concatenate(([0], np.cumsum(shared[number])))[begin]
+            held = np.zeros(int(shared.sum()), dtype=bool)
+        i = int(one[0])
+        held[known[begin[i] : begin[i + 1]]] = True
+        lengths = begin[others + 1] - begin[others]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(begin[others] - (ends - lengths), lengths)
+        upto = np.concatenate(([0], np.cumsum(held[known[at]])))
+        inter = upto[ends] - upto[ends - lengths]
+        held[known[begin[i] : begin[i + 1]]] = False
+        union = sizes[i] + sizes[others] - inter
+        linked = others[inter * THRESHOLD[1] >= union * THRESHOLD[0]]
+        roots, first = np.unique(root[linked], return_index=True)
+        for j in linked[first].tolist():
+            x.append(int(doc[i]))
+            y.append(int(doc[j]))
+        root[np.isin(root, roots)] = root[i]
+    return x, y
+
+
 def _compared(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (x, y) of rows of :func:`_dealt`, a bucket or pair of blocks at a time."""
+    """Links (x, y) of rows of :func:`_dealt`, a bucket or pair of blocks at a time."""
 
-    def compared(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for x, y in _alive(*(np.concatenate(c) for c in zip(*held, strict=True))):
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+    def compared(bucket: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        x, y = _links(bucket, *(np.concatenate(c) for c in zip(*held, strict=True)))
+        if x:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
 
     now, held = None, []
     for frame in frames:
@@ -312,15 +363,18 @@ def _compared(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
         columns = [frame.column(i).to_numpy() for i in (3, 4, 5)]
         columns.append(frame.column(6).flatten().to_numpy().reshape(-1, HASHES))
+        values, sizes = frame.column(7).flatten().to_numpy(), pc.list_value_length(frame.column(7)).to_numpy()
+        sizes = sizes.astype(np.int64)
+        begin = np.concatenate(([0], np.cumsum(sizes)))
         for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), frame.num_rows], strict=True):
             if hi > lo:
                 if held and now != tuple(keys[:, lo]):
-                    yield from compared(held)
+                    yield from compared(now[0], held)
                     held = []
                 now = tuple(keys[:, lo])
-                held.append(tuple(c[lo:hi] for c in columns))
+                held.append((*(c[lo:hi] for c in columns), values[begin[lo] : begin[hi]], sizes[lo:hi]))
     if held:
-        yield from compared(held)
+        yield from compared(now[0], held)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -343,14 +397,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # Exact copies: one representative a set, the others link to it. A set decides its buckets.
     firsts = stage(
         usable.groupBy("set_key", "set_check").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets")
+            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets"),
+            F.first("n_shingles").alias("size"),
         ),
         "minhash-firsts",
     )
     copied = firsts.filter("n > 1").select("set_key", "set_check", "rep")
     copies = lookup(usable.select("doc_id", "set_key", "set_check"), copied, ["set_key", "set_check"], "inner")
     copy_links = copies.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    banded = firsts.select(F.col("rep").alias("doc_id"), F.explode("buckets").alias("bucket"))
+    banded = firsts.select(F.col("rep").alias("doc_id"), "size", F.explode("buckets").alias("bucket"))
     crowded = stage(
         banded.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("star"))
@@ -362,7 +417,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     members = stage(banded.join(crowded, "bucket"), "minhash-members")
     nodes = stage(members.select("doc_id").distinct(), "minhash-nodes")
     near = texts.join(nodes if fits_broadcast(nodes) else nodes.hint("shuffle_hash"), "doc_id", "left_semi")
-    near = stage(near.mapInArrow(_signed, "doc_id long, hashes array<long>, sig array<long>"), "minhash-near")
+    near = near.mapInArrow(_signed, "doc_id long, hashes array<long>, sig array<long>").filter("sig is not null")
+    near = stage(near, "minhash-near")
 
     to_star = members.filter("doc_id <> star").select(F.col("doc_id").alias("x"), F.col("star").alias("y"))
     star_links = stage(_verified(stage(to_star.distinct(), "minhash-pairs"), near), "minhash-star")
@@ -370,17 +426,21 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     known = stage(components(linked.unionByName(copy_links)), "minhash-known")
     # In buckets that still hold several components, members of different ones are compared.
     labels = known.select(F.col("node").alias("doc_id"), F.col("root").alias("root"))
-    labelled = lookup(members.filter("n > 2").select("doc_id", "bucket", "n"), labels, ["doc_id"]).select(
-        "doc_id", "bucket", "n", F.coalesce("root", "doc_id").alias("root")
+    labelled = lookup(members.filter("n > 2").select("doc_id", "bucket", "n", "size"), labels, ["doc_id"]).select(
+        "doc_id", "bucket", "n", "size", F.coalesce("root", "doc_id").alias("root")
     )
     labelled = stage(labelled, "minhash-labelled")
-    open_ = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    left = labelled.join(open_.select("bucket"), "bucket", "left_semi").join(near.select("doc_id", "sig"), "doc_id")
-    alive = stage(_dealt(left).mapInArrow(_compared, "x long, y long").distinct(), "minhash-others")
-    rest = _verified(alive, near)
+    open_ = (
+        labelled.groupBy("bucket")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum("size").alias("total"))
+        .filter("lo <> hi")
+        .select("bucket", "total")
+    )
+    left = labelled.join(open_, "bucket").join(near.select("doc_id", "sig", "hashes"), "doc_id")
+    rest = stage(_dealt(left).mapInArrow(_compared, "x long, y long").distinct(), "minhash-others")
 
     edges = known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
-        rest.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
+        rest.select(F.col("x").alias("u"), F.col("y").alias("v"))
     )
     roots = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("_root"))
     out = lookup(sets.select("doc_id", "n_shingles"), roots, ["doc_id"])
