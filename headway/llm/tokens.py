@@ -89,16 +89,27 @@ def bounds(data: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     odd[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
     space = kind == _SPACE
     odd[1:] |= space[1:] & space[:-1] & ~word[1:-1]
+    number = np.cumsum(word[:-1], dtype=np.int32) - 1  # of the word that a byte belongs to
     refined = np.ones(len(words) - 1, dtype=bool)
-    refined[np.searchsorted(words, np.flatnonzero(odd), side="right") - 1] = False
+    refined[number[odd]] = False
     change = np.flatnonzero(kind[1:] != kind[:-1]) + 1
     # The space in front of a word belongs to what follows.
     change = change[~(word[change - 1] & (data[change - 1] == 0x20))]
-    change = change[refined[np.searchsorted(words, change, side="right") - 1]]
+    change = change[refined[number[change]]]
     word[change] = True
     return np.flatnonzero(word)
 
 
+def _listed(values: pa.LargeBinaryArray) -> list[bytes]:
+    """The values (no nulls) as bytes: slices of one object, without a scalar a value."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
+    if not len(values):
+        return []
+    data = values.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes()
+    at = (offsets - offsets[0]).tolist()
+    return [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -164,7 +175,7 @@ class Encoder:
         )
         numbered = pieces.dictionary_encode()
         known = self.pieces.get
-        found = [known(p) or self._piece(p) for p in numbered.dictionary.to_pylist()]
+        found = [known(p) or self._piece(p) for p in _listed(numbered.dictionary)]
         flat = np.frombuffer(b"".join(found), "<u2")
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
         starts = np.cumsum(sizes) - sizes

@@ -30,22 +30,36 @@ MAGIC = b"WVMX"
 HEAD = struct.Struct("<4sIIIIQ")
 BLOCK = 512  # bits between two counts
 FILE_TOKENS = 1 << 20  # a file is closed once it holds so many
+PART = 1 << 15  # tokens that are dealt at once: they and their places stay in a core's cache
+
+
+def _parts(ones: np.ndarray, zeros: int) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """For each part of a plane: its start, where its zeros and its ones go, and their places in it."""
+    low, high = 0, zeros
+    for at in range(0, len(ones), PART):
+        part = ones[at : at + PART]
+        lows, highs = np.flatnonzero(~part), np.flatnonzero(part)
+        yield at, low, high, lows, highs
+        low, high = low + len(lows), high + len(highs)
 
 
 def build(ids: np.ndarray, doc_ids: np.ndarray, starts: np.ndarray, planes: int = 16) -> bytes:
     """The file of these tokens; ``starts`` has one entry more than ``doc_ids``."""
     n = len(ids)
     blocks = -(-n // BLOCK) or 1
-    level = ids.astype(np.uint16, copy=True)
+    level, after = ids.astype(np.uint16, copy=True), np.empty(n, dtype=np.uint16)
     zeros = np.zeros(planes, dtype="<u8")
     bits = np.zeros((planes, blocks * BLOCK // 8), dtype=np.uint8)
     for plane in range(planes):
-        ones = (level >> (planes - 1 - plane)) & 1 != 0
+        ones = level & np.uint16(1 << (planes - 1 - plane)) != 0
         packed = np.packbits(ones, bitorder="little")
         bits[plane, : len(packed)] = packed
-        low = level[~ones]
-        zeros[plane] = len(low)
-        level = np.concatenate((low, level[ones]))
+        zeros[plane] = n - np.count_nonzero(ones)
+        for at, low, high, lows, highs in _parts(ones, int(zeros[plane])):
+            part = level[at : at + PART]
+            part.take(lows, out=after[low : low + len(lows)], mode="clip")
+            part.take(highs, out=after[high : high + len(highs)], mode="clip")
+        level, after = after, level
     counts = np.bitwise_count(bits).reshape(planes, blocks, BLOCK // 8).sum(axis=2, dtype=np.int64)
     before = (np.cumsum(counts, axis=1) - counts).astype("<u4")
     body = b"".join(
@@ -148,10 +162,11 @@ class WaveletFile:
         level = np.zeros(self.n, dtype=np.uint16)
         for plane in reversed(range(self.planes)):
             ones = np.unpackbits(self.bits[plane], count=self.n, bitorder="little").view(bool)
-            zeros = int(self.zeros[plane])
-            above = np.empty(self.n, dtype=np.uint16)
-            above[~ones] = level[:zeros]
-            above[ones] = level[zeros:] | np.uint16(1 << (self.planes - 1 - plane))
+            above, bit = np.empty(self.n, dtype=np.uint16), np.uint16(1 << (self.planes - 1 - plane))
+            for at, low, high, lows, highs in _parts(ones, int(self.zeros[plane])):
+                part = above[at : at + PART]
+                part[lows] = level[low : low + len(lows)]
+                part[highs] = level[high : high + len(highs)] | bit
             level = above
         return level
 
