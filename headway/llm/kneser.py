@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,6 +69,17 @@ def _slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[list]:
         yield held
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as bytes for a shuffle: bytes of one place lie next to each other, then zstd."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes, dtype: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
 def _shard(context: np.ndarray) -> np.ndarray:
     """Shard of n-grams by the last two bytes of their context."""
     return (context & 0xFFFF) * 40503 % 65521 % SHARDS
@@ -238,7 +250,7 @@ def scores(docs: DataFrame, model: DataFrame, row_column: str | None = None) ->
                 [
                     pa.array(np.full(len(used), chunk)),
                     pa.array(used.astype(np.int32)),
-                    pa.array([p.tobytes() for p in parts], pa.binary()),
+                    pa.array([_packed(np.diff(p, prepend=0)) for p in parts], pa.binary()),
                 ],
                 ["chunk", "shard", "keys"],
             )
@@ -276,7 +288,7 @@ def scores(docs: DataFrame, model: DataFrame, row_column: str | None = None) ->
         kind, key, value = kind[order], key[order], value[order]
         tables = [(key[kind == k], value[kind == k]) for k in (0, 1)]
         out = [
-            log_probabilities(np.frombuffer(k.as_py(), "<i8"), *tables).astype("<f4").tobytes()
+            _packed(log_probabilities(np.cumsum(_unpacked(k.as_py(), "<i8")), *tables).astype("<f4"))
             for k in asked["keys"]
         ]
         return pa.table([asked["chunk"], asked["shard"], pa.array(out, pa.binary())], ["chunk", "shard", "values"])
@@ -292,7 +304,7 @@ def scores(docs: DataFrame, model: DataFrame, row_column: str | None = None) ->
         shard = _shard(keys >> 8)
         value = np.zeros(len(keys))
         for s, v in zip(known["shard"].to_pylist(), known["values"].to_pylist(), strict=True):
-            value[shard == s] = np.frombuffer(v, "<f4")
+            value[shard == s] = _unpacked(v, "<f4")
         sizes, sums = [], []
         for texts in _slices(some["text"]):
             grams, size = _grams(texts)
