@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -138,12 +140,18 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 def _discounts(grams: DataFrame) -> list[float]:
-    """Discounts of counts 1, 2 and above, from the numbers of n-grams seen 1 to 4 times."""
+    """Discounts of counts 1, 2 and above, from the numbers of n-grams seen 1 to 4 times.
+
+    Where these give no discount above 0, as few n-grams of a low order may, a context
+    could be left without mass for unseen bytes: then fixed discounts serve.
+    """
     n = grams.agg(*[F.count(F.when(F.col("c") == k, 1)) for k in range(1, 5)]).first()
-    if not all(n):
-        return [0.5, 1.0, 1.5]
-    y = n[0] / (n[0] + 2 * n[1])
-    return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) for k in range(1, 4)]
+    if all(n):
+        y = n[0] / (n[0] + 2 * n[1])
+        found = [k - (k + 1) * y * n[k] / n[k - 1] for k in range(1, 4)]
+        if min(found) > 0:
+            return found
+    return [0.5, 1.0, 1.5]
 
 
 def train(docs: DataFrame) -> DataFrame:
@@ -257,9 +265,11 @@ def scores(docs: DataFrame, model: DataFrame, row_column: str | None = None) ->
 
         now, held = None, []
         for frame in frames:
+            # A task may read files in any order: runs of one chunk, not sorted chunks.
             chunk = frame.column(0).to_numpy()
-            for c in np.unique(chunk).tolist():
-                lo, hi = np.searchsorted(chunk, [c, c + 1])
+            runs = np.flatnonzero(np.diff(chunk, prepend=chunk[:1] - 1, append=chunk[-1:] + 1))
+            for lo, hi in pairwise(runs.tolist()):
+                c = int(chunk[lo])
                 if c != now and held:
                     yield asked(now, held)
                     held = []
@@ -287,11 +297,22 @@ def scores(docs: DataFrame, model: DataFrame, row_column: str | None = None) ->
         order = np.argsort(key)
         kind, key, value = kind[order], key[order], value[order]
         tables = [(key[kind == k], value[kind == k]) for k in (0, 1)]
-        out = [
-            _packed(log_probabilities(np.cumsum(_unpacked(k.as_py(), "<i8")), *tables).astype("<f4"))
-            for k in asked["keys"]
-        ]
-        return pa.table([asked["chunk"], asked["shard"], pa.array(out, pa.binary())], ["chunk", "shard", "values"])
+        # A chunk whose file was cut into splits asks once a split: it is answered once, for all its keys.
+        parts: dict[int, list[bytes]] = {}
+        for chunk, keys in zip(asked["chunk"].to_pylist(), asked["keys"].to_pylist(), strict=True):
+            parts.setdefault(chunk, []).append(keys)
+        out = []
+        for some in parts.values():
+            keys = reduce(np.union1d, [np.cumsum(_unpacked(k, "<i8")) for k in some])
+            out.append(_packed(log_probabilities(keys, *tables).astype("<f4")))
+        return pa.table(
+            [
+                pa.array(list(parts), pa.int64()),
+                asked["shard"].slice(0, len(parts)),
+                pa.array(out, pa.binary()),
+            ],
+            ["chunk", "shard", "values"],
+        )
 
     answers = (
         wanted.groupBy("shard", "copy")
