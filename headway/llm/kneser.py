@@ -21,11 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from headway.llm.common import numbered, ready, row_number, stage
+from headway.llm.common import numbered, picked, ready, row_number, stage
 from headway.operators.skew import lookup
 
 ORDER = 5
-MAP_BITS = 15  # rows of a scan whose trust is sent as one bitmap
 SHARDS = 128
 CHUNK_BITS = 12  # 4,096 consecutive rows of a scan's task are scored together
 CHUNKS_A_SHARD = 512  # chunks that one copy of a model shard serves
@@ -101,17 +100,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def only(docs: DataFrame, ids: DataFrame, row: str | None = None) -> DataFrame:
     """The texts of all rows of ``docs`` whose doc_id is among ``ids``, without a shuffle of texts.
 
-    Numbers and ids alone are joined; the rows found go to the texts as one bit each, in
-    bitmaps of 32,768 rows. Both scans belong to one plan, so their numbers agree.
+    Numbers and ids alone are joined; the rows found go to the texts as one bit each
+    (:func:`picked`). Both scans belong to one plan, so their numbers agree.
     """
     numbers = docs.select("doc_id", row_number(row).alias("_n")).join(ids, "doc_id", "left_semi")
-    part = F.shiftright("_n", MAP_BITS).alias("_part")
-    place = F.col("_n").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    maps = numbers.groupBy(part).agg(F.bitmap_construct_agg(place).alias("_map"))
-    byte = F.conv(F.hex(F.substring("_map", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10)
-    bit = F.getbit(byte.cast("long"), place.bitwiseAND(F.lit(7)).cast("int"))
-    rows = docs.select(row_number(row).alias("_n"), "text").withColumn("_part", part)
-    return rows.join(F.broadcast(maps), "_part").filter(bit == 1).select("text")
+    return picked(docs.select(row_number(row).alias("_n"), "text"), numbers, "_n")
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -424,4 +417,4 @@ def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`classify` keeps, all columns as they are."""
     docs, row = numbered(docs)
     rows = stage(classify(docs, labels, row).filter("keep").select(F.col("row").alias(row)), "kneser")
-    return docs.join(rows, row, "left_semi").drop(row)
+    return picked(docs, rows, row)

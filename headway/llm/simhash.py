@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import numbered, ready, row_number, stage, tasks
+from headway.llm.common import numbered, picked, ready, row_number, stage, tasks
 from headway.llm.components import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
@@ -243,8 +243,8 @@ def digest(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, all columns as they are.
 
-    Rows are numbered once and written with their number (:func:`numbered`).
+    Rows keep the number that :func:`numbered` gives them.
     """
     docs, row = numbered(docs)
     kept = stage(near_duplicates(docs, row).filter("kept").select(F.col("row").alias(row)), "simhash")
-    return docs.join(kept, row, "left_semi").drop(row)
+    return picked(docs, kept, row)
